@@ -77,21 +77,17 @@ def roc_auc(pred: DataFrame, label: str = "label", score: str = "score") -> Data
 def roc_points(pred: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One point per distinct score, from the origin (no threshold) to (1, 1)."""
     counts = _by_score(pred, label, score)
-    ranked = running_totals(counts, [("threshold", False)], {"tp": "pos", "fp": "neg"})
-    totals = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    positives, negatives = totals.select("p").scalar(), totals.select("n").scalar()
-    points = ranked.select("threshold", "tp", "fp")
-    start = counts.agg(
-        F.max(F.lit(None).cast(counts.schema["threshold"].dataType)).alias("threshold"),
-        F.lit(0).cast("bigint").alias("tp"),
-        F.lit(0).cast("bigint").alias("fp"),
-    )
-    return points.unionByName(start).withColumns(
-        {
-            "tpr": F.try_divide(F.col("tp").cast("double"), positives.cast("double")),
-            "fpr": F.try_divide(F.col("fp").cast("double"), negatives.cast("double")),
-        }
+    points = running_totals(counts, [("threshold", False)], {"tp": "pos", "fp": "neg"}).drop("pos", "neg")
+    first = points.limit(1)
+    origin = first.withColumns(
+        {"threshold": F.lit(None).cast(points.schema["threshold"].dataType)}
+        | {c: F.lit(0).cast("bigint") for c in ("tp", "fp")}
     )
+    shares = {
+        "tpr": F.try_divide(F.col("tp").cast("double"), F.col("tp_total")),
+        "fpr": F.try_divide(F.col("fp").cast("double"), F.col("fp_total")),
+    }
+    return points.unionByName(origin).withColumns(shares).drop("tp_total", "fp_total")
 
 
 def evaluate_binary(

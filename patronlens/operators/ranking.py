@@ -146,7 +146,8 @@ def running_totals(df: DataFrame, order: Order, totals: dict[str, str]) -> DataF
     """Adds cumulative sums in a unique total order, the row itself included.
 
     `totals` maps an output column to an integer column. Each range partition is summed
-    by itself and shifted by the sum of the partitions before it.
+    by itself and shifted by the sum of the partitions before it. The overall sum of each
+    is added as `<output>_total`.
     """
     placed = place(df, order)
     sums = [F.sum(column).alias(out) for out, column in totals.items()]
@@ -161,4 +162,5 @@ def running_totals(df: DataFrame, order: Order, totals: dict[str, str]) -> DataF
     summed = placed.join(shifts, "_part").withColumns(
         {out: F.sum(column).over(inside) + F.col(f"_before_{out}") for out, column in totals.items()}
     )
-    return summed.drop("_part", "_at", *[f"_before_{out}" for out in totals])
+    overall = {f"{out}_total": F.lit(total).cast("bigint") for out, total in before.items()}
+    return summed.drop("_part", "_at", *[f"_before_{out}" for out in totals]).withColumns(overall)

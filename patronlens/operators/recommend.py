@@ -9,6 +9,8 @@ per shelf, so nothing depends on the catalogue being small.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -18,13 +20,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from patronlens.operators.affinity import category_shares, product_dimension
-from patronlens.operators.features import top_by
 from patronlens.operators.sampling import stratified_split
 from patronlens.workspace import enable_model_checkpoints, materialize
 
 SHELF = 10_000
 # Copies of each shelf when there are several, so that one shelf is not one task.
 SHELF_COPIES = 64
+# A score of twelve digits and a shelf position share one 64-bit number.
+_SCORE_UNITS = 10**12
+_POSITIONS = 2**20
 
 CUSTOMER_FEATURES = ["avg_order_value", "frequency", "RFM_total"]
 RANKER_FEATURES = [
@@ -34,10 +38,10 @@ RANKER_FEATURES = [
 
 
 def _stock_shelves(products: DataFrame, limit: int) -> tuple[DataFrame, int]:
-    """Shelves of at most about `limit` products: (`_shelf`, `_stock`), and their number."""
+    """Shelves of at most about `limit` products in name order: (`_shelf`, `_stock`), and their number."""
     n = products.count()
     shelves = 1 if n <= limit else -(-2 * n // limit)
-    product = F.struct("product_id", "product_name", "category", "unit_price")
+    product = F.struct("product_name", "product_id", "category", "unit_price")
     stocked = (
         products.withColumn("_shelf", F.pmod(F.xxhash64("product_id"), F.lit(shelves)).cast("int"))
         .groupBy("_shelf")
@@ -46,49 +50,61 @@ def _stock_shelves(products: DataFrame, limit: int) -> tuple[DataFrame, int]:
     return materialize(stocked, "shelves"), shelves
 
 
+def _index(stocked: DataFrame) -> DataFrame:
+    """Every product with its shelf and 1-based position."""
+    placed = stocked.select("_shelf", F.posexplode("_stock").alias("_p", "_product"))
+    return placed.select("_shelf", (F.col("_p") + 1).alias("_p"), "_product.product_id", "_product.product_name")
+
+
 def _baskets(sales: DataFrame, stocked: DataFrame) -> DataFrame:
-    """Per customer and shelf, the 1-based positions of the products bought."""
-    index = stocked.select("_shelf", F.posexplode("_stock").alias("_p", "_product")).select(
-        "_shelf", (F.col("_p") + 1).alias("_p"), F.col("_product.product_id").alias("product_id")
-    )
+    """Per customer and shelf, the positions of the products bought."""
     bought = sales.select("customer_id", "product_id").dropna().distinct()
     return (
-        bought.join(index, "product_id")
+        bought.join(_index(stocked), "product_id")
         .groupBy("customer_id", "_shelf")
         .agg(F.sort_array(F.collect_list("_p")).alias("_bought"))
     )
 
 
-def _shop_floor(
-    customers: DataFrame, sales: DataFrame, products: DataFrame | None, limit: int
-) -> tuple[DataFrame, int]:
-    """`customers` once per shelf, with `_stock`, `_bought` and `_unseen` (positions)."""
+class _Floor(NamedTuple):
+    rows: DataFrame
+    stocked: DataFrame
+    shelves: int
+
+
+def _shop_floor(customers: DataFrame, sales: DataFrame, products: DataFrame | None, limit: int) -> _Floor:
+    """`customers` once per shelf, with `_stock`, and `_bought` and `_unseen` (positions).
+
+    `_draws` is the size of the whole basket. The stock comes last, so that it is not part
+    of the rows that the joins before it move.
+    """
     if products is None:
         products = materialize(product_dimension(sales), "products")
     stocked, shelves = _stock_shelves(products, limit)
     baskets = _baskets(sales, stocked)
+    nothing = F.array().cast("array<int>")
+    bought = F.coalesce(F.col("_bought"), nothing)
     if shelves == 1:
+        rows = customers.join(baskets, "customer_id", "left").withColumn("_shelf", F.lit(0))
+        rows = rows.withColumns({"_bought": bought, "_draws": F.size(bought)})
         # At most `limit` products: the single shelf is a constant of the plan.
-        placed = customers.withColumn("_shelf", F.lit(0)).withColumn(
-            "_stock", stocked.select("_stock").scalar()
-        )
+        rows = rows.withColumn("_stock", stocked.select("_stock").scalar())
     else:
         every = F.explode(F.sequence(F.lit(0), F.lit(shelves - 1)))
         copy = F.pmod(F.xxhash64("customer_id"), F.lit(SHELF_COPIES)).cast("int")
         copies = F.explode(F.sequence(F.lit(0), F.lit(SHELF_COPIES - 1)))
-        placed = (
-            customers.withColumn("_shelf", every)
-            .withColumn("_copy", copy)
+        sizes = baskets.groupBy("customer_id").agg(F.sum(F.size("_bought")).cast("int").alias("_draws"))
+        rows = (
+            customers.join(sizes, "customer_id", "left")
+            .withColumns({"_shelf": every, "_copy": copy, "_draws": F.coalesce("_draws", F.lit(0))})
+            .join(baskets, ["customer_id", "_shelf"], "left")
+            .withColumn("_bought", bought)
             .join(stocked.withColumn("_copy", copies), ["_shelf", "_copy"])
             .drop("_copy")
         )
-    nothing = F.array().cast("array<int>")
-    floor = placed.join(baskets, ["customer_id", "_shelf"], "left").withColumn(
-        "_bought", F.coalesce("_bought", nothing)
-    )
     all_positions = F.when(F.size("_stock") > 0, F.sequence(F.lit(1), F.size("_stock")))
     unseen = F.array_except(F.coalesce(all_positions, nothing), "_bought")
-    return floor.withColumn("_unseen", unseen), shelves
+    return _Floor(rows.withColumn("_unseen", unseen), stocked, shelves)
 
 
 def _product(position: Column) -> Column:
@@ -150,22 +166,30 @@ def unpurchased_summary(
     customers: DataFrame, sales: DataFrame, products: DataFrame | None = None, limit: int = SHELF
 ) -> DataFrame:
     """Per customer the unpurchased products: how many, first and last name, sum of prices."""
-    floor, _ = _shop_floor(customers.select("customer_id"), sales, products, limit)
+    floor = _shop_floor(customers.select("customer_id"), sales, products, limit)
     names = F.transform("_unseen", lambda p: _product(p)["product_name"])
     prices = F.transform("_unseen", lambda p: _product(p)["unit_price"].cast("decimal(28,2)"))
     zero = F.lit(0).cast("decimal(28,2)")
-    per_shelf = floor.select(
+    per_shelf = floor.rows.select(
         "customer_id",
         F.size("_unseen").alias("n"),
         F.array_min(names).alias("first"),
         F.array_max(names).alias("last"),
         F.aggregate(prices, zero, lambda acc, p: (acc + p).cast("decimal(28,2)")).alias("value"),
     )
-    return per_shelf.groupBy("customer_id").agg(
-        F.sum("n").alias("n_candidates"),
-        F.min("first").alias("first_candidate"),
-        F.max("last").alias("last_candidate"),
-        F.sum("value").alias("candidate_value"),
+    if floor.shelves > 1:
+        per_shelf = per_shelf.groupBy("customer_id").agg(
+            F.sum("n").alias("n"),
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+            F.sum("value").alias("value"),
+        )
+    return per_shelf.select(
+        "customer_id",
+        F.col("n").cast("bigint").alias("n_candidates"),
+        F.col("first").alias("first_candidate"),
+        F.col("last").alias("last_candidate"),
+        F.col("value").alias("candidate_value"),
     )
 
 
@@ -189,13 +213,7 @@ def training_pairs(
     else:
         people = people.join(features.select("customer_id", *CUSTOMER_FEATURES), "customer_id", "left")
     people = people.join(category_shares(sales), "customer_id", "left")
-    floor, shelves = _shop_floor(people, sales, products, limit)
-
-    if shelves == 1:
-        floor = floor.withColumn("_draws", F.size("_bought"))
-    else:
-        draws = floor.groupBy("customer_id").agg(F.sum(F.size("_bought")).cast("int").alias("_draws"))
-        floor = floor.join(draws, "customer_id")
+    floor = _shop_floor(people, sales, products, limit)
 
     def ticket(p: Column) -> Column:
         parts = (F.col("customer_id").cast("string"), _product(p)["product_id"], F.lit(str(seed)))
@@ -211,8 +229,8 @@ def training_pairs(
         F.transform("_bought", lambda p: pair(p, 1, F.lit(""))),
         F.transform(drawn, lambda t: pair(t["p"], 0, t["ticket"])),
     )
-    rows = floor.select("customer_id", "_draws", *CUSTOMER_FEATURES, F.explode(pairs).alias("_pair"))
-    if shelves > 1:
+    rows = floor.rows.select("customer_id", "_draws", *CUSTOMER_FEATURES, F.explode(pairs).alias("_pair"))
+    if floor.shelves > 1:
         # Every shelf offered its lowest tickets; the lowest of all of them are the sample.
         negatives = _lowest_tickets(rows.where(F.col("_pair.label") == 0))
         rows = rows.where(F.col("_pair.label") == 1).unionByName(negatives)
@@ -280,28 +298,35 @@ def recommend(
     sales: DataFrame,
     model: PipelineModel,
     products: DataFrame | None = None,
-    top_n: int = 1,
     limit: int = SHELF,
 ) -> DataFrame:
-    """The best-scored unpurchased products of every customer, ties by product name.
+    """The best-scored unpurchased product of every customer, ties by product name.
 
-    Candidates leave the customer's row only to pass through the model in the same task;
-    what is shuffled is the best of each task.
+    Candidates leave the customer's row only to pass through the model in the same task.
+    Score and shelf position travel as one 64-bit number, so a hash aggregate keeps the best
+    of each task and only that is shuffled.
     """
-    floor, _ = _shop_floor(_people(customers, sales), sales, products, limit)
-    candidates = floor.select(
-        "customer_id", *CUSTOMER_FEATURES, F.explode(F.transform("_unseen", _described)).alias("_p")
-    ).select("customer_id", *CUSTOMER_FEATURES, "_p.*")
-    scored = score_pairs(model, _numeric(candidates)).select("customer_id", "product_name", "score")
-    if top_n == 1:
-        first = F.min(F.struct((-F.col("score")).alias("_rank"), "product_name", "score")).alias("_b")
-        best = scored.groupBy("customer_id").agg(first).select("customer_id", "_b.*")
-    else:
-        best = top_by(scored, ["customer_id"], [F.col("score").desc(), F.col("product_name").asc()], top_n)
+    floor = _shop_floor(_people(customers, sales), sales, products, limit)
+    described = F.transform("_unseen", lambda p: F.struct(p.alias("_p"), _described(p).alias("_product")))
+    candidates = floor.rows.select("customer_id", "_shelf", *CUSTOMER_FEATURES, F.explode(described).alias("_c"))
+    candidates = candidates.select("customer_id", "_shelf", *CUSTOMER_FEATURES, "_c._p", "_c._product.*")
+    scored = score_pairs(model, _numeric(candidates))
+    units = F.round(F.col("score") * _SCORE_UNITS).cast("bigint")
+    packed = units * _POSITIONS + (F.lit(_POSITIONS) - F.col("_p"))
+    best = scored.groupBy("customer_id", "_shelf").agg(F.max(packed).alias("_best"))
+    best = best.select(
+        "customer_id",
+        "_shelf",
+        (F.lit(_POSITIONS) - F.col("_best") % _POSITIONS).cast("int").alias("_p"),
+        F.floor(F.col("_best") / _POSITIONS).alias("_units"),
+    ).join(_index(floor.stocked), ["_shelf", "_p"])
+    if floor.shelves > 1:
+        first = F.min(F.struct((-F.col("_units")).alias("_rank"), "product_name", "_units")).alias("_b")
+        best = best.groupBy("customer_id").agg(first).select("customer_id", "_b.product_name", "_b._units")
     best = best.select(
         "customer_id",
         F.col("product_name").alias("recommended_product"),
-        F.bround("score", 4).alias("recommendation_score"),
+        F.bround(F.col("_units") / F.lit(float(_SCORE_UNITS)), 4).alias("recommendation_score"),
     )
     return _best_to_customers(customers, best).na.fill(0.0, subset=["recommendation_score"])
 
@@ -314,7 +339,7 @@ def recommend_by_affinity(
     Highest category affinity, then smallest price distance, then product name. The
     minimum is taken inside the customer's row.
     """
-    floor, _ = _shop_floor(_people(customers, sales), sales, products, limit)
+    floor = _shop_floor(_people(customers, sales), sales, products, limit)
 
     def rank(p: Column) -> Column:
         product = _described(p)
@@ -325,9 +350,8 @@ def recommend_by_affinity(
         )
 
     best = F.array_min(F.transform("_unseen", rank))
-    ranked = floor.select("customer_id", best.alias("_b")).where(F.col("_b").isNotNull())
-    best_of_all = ranked.groupBy("customer_id").agg(F.min("_b").alias("_b"))
-    return _best_to_customers(
-        customers,
-        best_of_all.select("customer_id", F.col("_b.product_name").alias("recommended_product")),
-    )
+    ranked = floor.rows.select("customer_id", best.alias("_b"))
+    if floor.shelves > 1:
+        ranked = ranked.groupBy("customer_id").agg(F.min("_b").alias("_b"))
+    name = F.coalesce(F.col("_b.product_name"), F.lit("None"))
+    return ranked.select("customer_id", name.alias("recommended_product"))

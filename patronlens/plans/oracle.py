@@ -1,7 +1,7 @@
 """The same results as plain SQL over the test tables, for an independent check.
 
 `PARTS` are named sub-queries with the parts they use; `ORACLE` maps a query name to its
-statement. Doubles are rounded to six digits on both sides.
+statement. Doubles are rounded to six digits on both sides, by the same scaling.
 """
 
 from __future__ import annotations
@@ -303,7 +303,7 @@ select * replace (case when order_id % 50 <> 0 then customer_id end as customer_
 
 
 def _rounded(columns: list[str]) -> str:
-    return ", ".join(f"round({c}, 6) as {c}" for c in columns)
+    return ", ".join(f"round({c} * 1e6) / 1e6 + 0.0 as {c}" for c in columns)
 
 
 _AUDITED = {
@@ -329,16 +329,16 @@ select customer_id, customer_name, churned, segment, churn_probability, predicte
         for name, rows in _AUDITED.items()
     ),
     "fill_zero_activity": f"""
-select customer_id, total_sessions, round(avg_pages_per_session, 6) as avg_pages_per_session, cart_adds,
-  total_touches, round(open_rate, 6) as open_rate from c360""",
+select customer_id, total_sessions, round(avg_pages_per_session * 1e6) / 1e6 as avg_pages_per_session, cart_adds,
+  total_touches, round(open_rate * 1e6) / 1e6 as open_rate from c360""",
     "fill_from_column": "select customer_id, recency_days, top_purchase_channel from c360",
-    "fill_global_mean": "select customer_id, round(avg_csat, 6) as avg_csat from c360",
+    "fill_global_mean": "select customer_id, round(avg_csat * 1e6) / 1e6 as avg_csat from c360",
     "recency_tenure_days": "select customer_id, recency_days, customer_tenure_days from orders_by_customer",
     "tenure_frequency": "select customer_id, "
     + _rounded(["tenure_years", "purchase_freq_per_year"])
     + " from c360",
-    "retention_factor": "select customer_id, round(retention_factor, 6) as retention_factor from c360",
-    "clv": "select customer_id, clv_historical, round(clv_predicted, 6) as clv_predicted from c360",
+    "retention_factor": "select customer_id, round(retention_factor * 1e6) / 1e6 as retention_factor from c360",
+    "clv": "select customer_id, clv_historical, round(clv_predicted * 1e6) / 1e6 as clv_predicted from c360",
     "customer_names": "select customer_id, first_name || ' ' || last_name as customer_name from v_customers",
     "log_features": f"select customer_id, {_rounded(CLUSTER)} from logged",
     "risk_bands": f"""
@@ -353,10 +353,10 @@ select customer_id, cast(long_dormant as int) as long_dormant, cast(mid_dormant
   cast(dormant_never_bought as int) as dormant_never_bought, churned from c360""",
     "order_rfm_base": """
 select customer_id, frequency, monetary, last_purchase_date, first_purchase_date,
-  round(avg_order_value, 6) as avg_order_value, total_units from orders_by_customer""",
+  round(avg_order_value * 1e6) / 1e6 as avg_order_value, total_units from orders_by_customer""",
     "web_engagement": """
-select customer_id, total_sessions, round(avg_pages_per_session, 6) as avg_pages_per_session,
-  round(avg_time_on_site, 6) as avg_time_on_site, cart_adds, last_session_date, days_since_last_session
+select customer_id, total_sessions, round(avg_pages_per_session * 1e6) / 1e6 as avg_pages_per_session,
+  round(avg_time_on_site * 1e6) / 1e6 as avg_time_on_site, cart_adds, last_session_date, days_since_last_session
 from web""",
     "support_experience": "select customer_id, total_tickets, "
     + _rounded(["avg_csat", "avg_resolution_hours", "escalation_rate"])
@@ -371,16 +371,16 @@ from web""",
     "customer_360": """
 select customer_id, customer_name, region, country, customer_type, signup_date, preferred_channel, email_opt_in,
   recency_days, frequency, monetary, R_score, F_score, M_score, RFM_score, RFM_total, clv_historical,
-  round(clv_predicted, 6) as clv_predicted, round(tenure_years, 6) as tenure_years,
-  round(purchase_freq_per_year, 6) as purchase_freq_per_year, round(avg_order_value, 6) as avg_order_value,
+  round(clv_predicted * 1e6) / 1e6 as clv_predicted, round(tenure_years * 1e6) / 1e6 as tenure_years,
+  round(purchase_freq_per_year * 1e6) / 1e6 as purchase_freq_per_year, round(avg_order_value * 1e6) / 1e6 as avg_order_value,
   favorite_category, last_product_purchased, top_purchase_channel, total_units, last_purchase_date,
-  first_purchase_date, total_sessions, round(avg_pages_per_session, 6) as avg_pages_per_session,
-  round(avg_time_on_site, 6) as avg_time_on_site, cart_adds, days_since_last_session, total_tickets,
-  round(avg_csat, 6) as avg_csat, round(avg_resolution_hours, 6) as avg_resolution_hours,
-  round(escalation_rate, 6) as escalation_rate, total_touches, round(open_rate, 6) as open_rate,
-  round(conversion_rate, 6) as conversion_rate, churned
+  first_purchase_date, total_sessions, round(avg_pages_per_session * 1e6) / 1e6 as avg_pages_per_session,
+  round(avg_time_on_site * 1e6) / 1e6 as avg_time_on_site, cart_adds, days_since_last_session, total_tickets,
+  round(avg_csat * 1e6) / 1e6 as avg_csat, round(avg_resolution_hours * 1e6) / 1e6 as avg_resolution_hours,
+  round(escalation_rate * 1e6) / 1e6 as escalation_rate, total_touches, round(open_rate * 1e6) / 1e6 as open_rate,
+  round(conversion_rate * 1e6) / 1e6 as conversion_rate, churned
 from c360""",
-    "churn_rate": f"select count(*) as customers, round({_mean('churned')}, 6) as churn_rate from c360",
+    "churn_rate": f"select count(*) as customers, round(({_mean('churned')}) * 1e6) / 1e6 as churn_rate from c360",
     "product_dimension": "select * from products",
     "category_pivot": "select customer_id, "
     + ", ".join(
@@ -389,7 +389,7 @@ from c360""",
     )
     + " from spend group by customer_id",
     "category_affinity": """
-select b.customer_id, k.category, round(coalesce(s.share, 0), 6) as category_affinity
+select b.customer_id, k.category, round((coalesce(s.share, 0)) * 1e6) / 1e6 as category_affinity
 from (select distinct customer_id from spend) b cross join (select distinct category from spend) k
 left join shares s on s.customer_id = b.customer_id and s.category = k.category""",
     "customer_baskets": "select distinct customer_id, product_name from v_sales",
@@ -411,16 +411,16 @@ select product_id, (select count(*) from v_customers) - count(u.customer_id) as
 from products left join unseen u using (product_id) group by product_id""",
     "negative_samples": "select * from samples",
     "reco_features": """
-select t.customer_id, t.product_id, t.label, round(coalesce(s.share, 0), 6) as category_affinity,
-  round(c.avg_order_value, 6) as avg_order_value, cast(c.frequency as double) as frequency,
+select t.customer_id, t.product_id, t.label, round((coalesce(s.share, 0)) * 1e6) / 1e6 as category_affinity,
+  round((c.avg_order_value) * 1e6) / 1e6 as avg_order_value, cast(c.frequency as double) as frequency,
   cast(c.RFM_total as double) as RFM_total, cast(p.unit_price as double) as unit_price,
-  round(abs(cast(p.unit_price as double) - c.avg_order_value), 6) as price_diff_from_avg_order
+  round((abs(cast(p.unit_price as double) - c.avg_order_value)) * 1e6) / 1e6 as price_diff_from_avg_order
 from samples t join products p using (product_id) join c360 c on c.customer_id = t.customer_id
 left join shares s on s.customer_id = t.customer_id and s.category = p.category""",
     "recommend_by_affinity": "select * from best_affinity",
     "dashboard": """
-select * replace (round(customer_value, 6) as customer_value, round(avg_order_value, 6) as avg_order_value,
-  round(avg_csat, 6) as avg_csat) from board""",
+select * replace (round(customer_value * 1e6) / 1e6 as customer_value, round(avg_order_value * 1e6) / 1e6 as avg_order_value,
+  round(avg_csat * 1e6) / 1e6 as avg_csat) from board""",
     "value_tiers": "select customer_id, value_tier from board",
     "segment_summary": f"""
 select segment, count(*) as customer_count, round_even({_dmean('customer_value')}, 2) as avg_customer_value,
@@ -435,32 +435,32 @@ select strftime(order_date, '%Y-%m') as order_month, cast(sum(revenue) as decima
 from v_sales_raw group by 1""",
     "dim_products": f"""
 select product_id, product_name, category, cast(sum(revenue) as decimal(18,2)) as total_revenue,
-  cast(sum(quantity) as bigint) as units_sold, round({_mean('unit_price')}, 6) as avg_price,
+  cast(sum(quantity) as bigint) as units_sold, round(({_mean('unit_price')}) * 1e6) / 1e6 as avg_price,
   (select count(*) from best_affinity b where b.recommended_product = product_name) as times_recommended
 from v_sales_raw group by product_id, product_name, category""",
     "times_recommended": """
 select recommended_product as product_name, count(*) as times_recommended from best_affinity group by 1""",
     "kpi_cards": f"""
 select cast(sum(revenue) as decimal(18,2)) as total_revenue, count(*) as total_customers,
-  round({_dmean('churn_probability')}, 6) as avg_churn_probability,
-  round({_dmean('customer_value')}, 6) as avg_customer_value from board""",
+  round(({_dmean('churn_probability')}) * 1e6) / 1e6 as avg_churn_probability,
+  round(({_dmean('customer_value')}) * 1e6) / 1e6 as avg_customer_value from board""",
     "risk_kpis": """
 select count(*) filter (churn_risk_band = 'High Risk') as high_risk_customers,
   cast(coalesce(sum(revenue) filter (churn_risk_band = 'High Risk'), 0) as decimal(18,2)) as revenue_at_risk,
-  round(count(*) filter (predicted_churn = 1) / cast(count(*) as double), 6) as churn_rate from board""",
+  round((count(*) filter (predicted_churn = 1) / cast(count(*) as double)) * 1e6) / 1e6 as churn_rate from board""",
     "segment_counts": "select segment, count(*) as customer_count from board group by 1",
     "risk_band_counts": "select churn_risk_band, count(*) as customer_count from board group by 1",
     "reco_by_segment": """
 select recommended_product, segment, count(*) as customer_count from board group by 1, 2""",
     "top_customers": """
-select customer_id, customer_name, round(customer_value, 6) as customer_value, revenue, segment
+select customer_id, customer_name, round(customer_value * 1e6) / 1e6 as customer_value, revenue, segment
 from board order by board.customer_value desc, customer_id limit 20""",
     "top_products": """
 select product_name, category, cast(sum(revenue) as decimal(18,2)) as total_revenue,
   cast(sum(quantity) as bigint) as units_sold
 from v_sales_raw group by product_name, category order by sum(revenue) desc, product_name limit 10""",
     "retention_targets": """
-select customer_id, segment, round(customer_value, 6) as customer_value, churn_probability, revenue
+select customer_id, segment, round(customer_value * 1e6) / 1e6 as customer_value, churn_probability, revenue
 from board where churn_risk_band = 'High Risk' and value_tier = 'Platinum'""",
     "recommended_product_details": """
 select customer_id, recommended_product, category, total_revenue, units_sold
@@ -479,7 +479,7 @@ select customer_id, cast(list_aggregate([
   {'d': (x - 1) * (x - 1) + (y - 1) * (y - 1), 'i': 4}], 'min').i as int) as segment
 from (select customer_id, recency_days as x, monetary as y from scaled)""",
     "churn_features": "select customer_id, churned as label, "
-    + ", ".join(f"round(cast({c} as double), 6) as {c}" for c in CHURN)
+    + ", ".join(f"round((cast({c} as double)) * 1e6) / 1e6 as {c}" for c in CHURN)
     + " from c360",
     "stratified_split": """
 select customer_id, label, case when rn <= floor(n * 0.25) then 1 else 0 end as is_test from (
@@ -496,9 +496,9 @@ join (select i, cast('0x' || substr(md5(cast(i as varchar) || '|42'), 1, 15) as
       from (select unnest(range((select count(*) from c360 where churned <> 1))) as i)) on pick = rn""",
     "class_weights": """
 select n_negative, n_positive,
-  round((n_negative + n_positive) / (2.0 * n_negative), 6) as weight_negative,
-  round((n_negative + n_positive) / (2.0 * n_positive), 6) as weight_positive,
-  round(cast(n_negative as double) / n_positive, 6) as positive_ratio
+  round(((n_negative + n_positive) / (2.0 * n_negative)) * 1e6) / 1e6 as weight_negative,
+  round(((n_negative + n_positive) / (2.0 * n_positive)) * 1e6) / 1e6 as weight_positive,
+  round((cast(n_negative as double) / n_positive) * 1e6) / 1e6 as positive_ratio
 from (select count(*) filter (churned = 0) as n_negative, count(*) filter (churned = 1) as n_positive from c360)""",
     "confusion_matrix": """
 select y as actual, p as predicted, count(customer_id) as n
@@ -507,10 +507,10 @@ left join (select * from fixed where kind = 'logreg') on label = y and predictio
 group by y, p""",
     "classification_metrics": """
 select accuracy, precision, recall, f1_score from metrics where model = 'Logistic Regression'""",
-    "roc_auc": "select round(auc, 6) as roc_auc from aucs where kind = 'logreg'",
+    "roc_auc": "select round(auc * 1e6) / 1e6 as roc_auc from aucs where kind = 'logreg'",
     "roc_points": """
-select threshold, tp, fp, round(tp / cast(max(tp) over () as double), 6) as tpr,
-  round(fp / cast(max(fp) over () as double), 6) as fpr from (
+select threshold, tp, fp, round((tp / cast(max(tp) over () as double)) * 1e6) / 1e6 as tpr,
+  round((fp / cast(max(fp) over () as double)) * 1e6) / 1e6 as fpr from (
   select score as threshold, cast(sum(count(*) filter (label = 1)) over w as bigint) as tp,
     cast(sum(count(*) filter (label = 0)) over w as bigint) as fp
   from fixed where kind = 'logreg' group by score
@@ -526,17 +526,17 @@ _FILTERS = """region in ('ASIA', 'EUROPE', 'AMERICA') and churn_risk_band in ('H
   and value_tier in ('Gold', 'Platinum')
   and segment in ('Champions', 'Loyal High-Value', 'Regular Customers', 'At Risk')"""
 _FINAL["explorer_slice"] = f"""
-select customer_id, round(customer_value, 6) as customer_value, churn_probability, segment, revenue,
+select customer_id, round(customer_value * 1e6) / 1e6 as customer_value, churn_probability, segment, revenue,
   purchase_frequency, last_purchase, recommended_product,
   case when churn_probability > 0.7 then 'red' when churn_probability >= 0.4 then 'yellow' else 'green' end as color
 from board where {_FILTERS}"""
 _FINAL["sliced_measures"] = f"""
 select cast(coalesce(sum(revenue), 0) as decimal(18,2)) as total_revenue,
-  round({_dmean('churn_probability')}, 6) as avg_churn_probability,
+  round(({_dmean('churn_probability')}) * 1e6) / 1e6 as avg_churn_probability,
   count(*) filter (churn_risk_band = 'High Risk') as high_risk_customers,
   cast(coalesce(sum(revenue) filter (churn_risk_band = 'High Risk'), 0) as decimal(18,2)) as revenue_at_risk,
-  round({_dmean('customer_value')}, 6) as avg_customer_lifetime_value,
-  round(count(*) filter (predicted_churn = 1) / cast(count(*) as double), 6) as churn_rate
+  round(({_dmean('customer_value')}) * 1e6) / 1e6 as avg_customer_lifetime_value,
+  round((count(*) filter (predicted_churn = 1) / cast(count(*) as double)) * 1e6) / 1e6 as churn_rate
 from board where {_FILTERS}"""
 
 ORACLE = {name: _statement(final) for name, final in _FINAL.items()}

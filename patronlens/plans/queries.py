@@ -45,7 +45,7 @@ def comparable(df: DataFrame) -> DataFrame:
     def tidy(field: T.StructField):
         column = F.col(field.name)
         if isinstance(field.dataType, T.DoubleType):
-            return F.round(column, 6).alias(field.name)
+            return (F.round(column * 1e6) / 1e6).alias(field.name)
         if isinstance(field.dataType, T.DecimalType) and field.dataType.precision > 18:
             return column.cast("decimal(18,2)").alias(field.name)
         return column
