@@ -23,6 +23,8 @@ CHURN_FEATURES = [
     "tenure_years", "email_opt_in", "RFM_total",
 ]
 
+ROWS_PER_TASK = 2000
+
 MODEL_NAMES = {
     "logreg": "Logistic Regression",
     "rf": "Random Forest",
@@ -54,7 +56,9 @@ def _learner(kind: str, n: int, params: dict):
         }
         return LogisticRegression(**{**common, **defaults, **params})
     if kind == "rf":
-        defaults = {"numTrees": 300, "maxDepth": 8, "minInstancesPerNode": 10, "seed": 42}
+        defaults = {
+            "numTrees": 300, "maxDepth": 8, "minInstancesPerNode": 10, "seed": 42, "maxMemoryInMB": 1024,
+        }
         return RandomForestClassifier(**{**common, **defaults, **params})
     if kind == "gbt":
         defaults = {"maxIter": 300, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.8, "seed": 42}
@@ -84,6 +88,10 @@ def fit_churn(train: DataFrame, kind: str = "logreg", **params) -> PipelineModel
         weights = (1.0, sizes["positive_ratio"])
     weight = F.when(F.col("label") == 0, F.lit(weights[0])).otherwise(F.lit(weights[1]))
     weighted = train.withColumn("weight", weight)
+    # A small table may sit in fewer files than there are cores.
+    tasks = min(train.sparkSession.sparkContext.defaultParallelism, n // ROWS_PER_TASK + 1)
+    if weighted.rdd.getNumPartitions() < tasks:
+        weighted = weighted.repartition(tasks, "customer_id")
     stages = [VectorAssembler(inputCols=CHURN_FEATURES, outputCol="features")]
     if kind == "logreg":
         stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True))

@@ -45,8 +45,9 @@ def fill_zero(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.na.fill(0, subset=present)
 
 
-def fill_from(df: DataFrame, column: str, fallback: Column) -> DataFrame:
-    return df.withColumn(column, F.coalesce(F.col(column), fallback))
+def fill_from(df: DataFrame, **fallbacks: Column) -> DataFrame:
+    """Fill the nulls of each named column from an expression over the row."""
+    return df.withColumns({c: F.coalesce(F.col(c), value) for c, value in fallbacks.items()})
 
 
 def fill_with_mean(df: DataFrame, column: str, source: DataFrame | None = None) -> DataFrame:
@@ -55,4 +56,4 @@ def fill_with_mean(df: DataFrame, column: str, source: DataFrame | None = None)
     `source` may be a narrower frame with the same non-null values of the column.
     """
     average = (df if source is None else source).agg(decimal_mean(column).alias("m"))
-    return fill_from(df, column, average.scalar())
+    return fill_from(df, **{column: average.scalar()})

@@ -44,24 +44,26 @@ ZERO_FILLED = [
 ]
 
 
+# Score column: (value, ascending).
+RFM_SPECS = {
+    "R_score": ("recency_days", True),
+    "F_score": ("frequency", False),
+    "M_score": ("monetary", False),
+}
+
+
 def rfm_scores(orders: DataFrame, best_score: int = 1) -> DataFrame:
     """Recency, frequency and spend quintiles of a written per-customer table.
 
     By default 1 is best: the latest, most frequent and highest spending fifth. With
     `best_score=5` the scale is mirrored.
     """
-    specs = {
-        "R_score": ("recency_days", True),
-        "F_score": ("frequency", False),
-        "M_score": ("monetary", False),
-    }
-    scored = quantile_scores(orders, specs, 5)
+    scored = quantile_scores(orders, RFM_SPECS, 5)
     if best_score == 5:
-        scored = scored.withColumns({c: F.lit(6) - F.col(c) for c in specs})
-    digits = [F.col(c).cast("string") for c in specs]
-    return scored.withColumn("RFM_score", F.concat(*digits)).withColumn(
-        "RFM_total", F.col("R_score") + F.col("F_score") + F.col("M_score")
-    )
+        scored = scored.withColumns({c: F.lit(6) - F.col(c) for c in RFM_SPECS})
+    digits = [F.col(c).cast("string") for c in RFM_SPECS]
+    total = F.col("R_score") + F.col("F_score") + F.col("M_score")
+    return scored.withColumns({"RFM_score": F.concat(*digits), "RFM_total": total})
 
 
 def add_clv(df: DataFrame, as_of, years=3, weight=0.6, lo=0.1, hi=0.95) -> DataFrame:
@@ -105,14 +107,17 @@ def build_customer_table(
         .join(tickets, "customer_id", "left")
         .join(marketing_features(marketing), "customer_id", "left")
     )
-    wide = fill_zero(wide, ZERO_FILLED)
-    wide = fill_from(wide, "recency_days", whole_days(as_of, "signup_date"))
-    for score, default in {"R_score": 1, "F_score": 1, "M_score": 1, "RFM_total": 3}.items():
-        wide = fill_from(wide, score, F.lit(default))
+    wide = fill_from(
+        fill_zero(wide, ZERO_FILLED),
+        recency_days=whole_days(as_of, "signup_date"),
+        top_purchase_channel=F.col("preferred_channel"),
+        favorite_category=F.lit("None"),
+        last_product_purchased=F.lit("None"),
+        **{score: F.lit(1) for score in RFM_SPECS},
+        RFM_total=F.lit(len(RFM_SPECS)),
+    )
     known = customers.select("customer_id").join(tickets.select("customer_id", "avg_csat"), "customer_id")
     wide = fill_with_mean(wide, "avg_csat", known)
-    wide = wide.na.fill("None", subset=["favorite_category", "last_product_purchased"])
-    wide = fill_from(wide, "top_purchase_channel", F.col("preferred_channel"))
 
     labelled = add_churn_label(add_clv(wide, as_of), as_of)
     return labelled.withColumn("customer_name", full_name()).select(*CUSTOMER_COLUMNS)

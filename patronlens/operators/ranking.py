@@ -112,15 +112,15 @@ def quantile_scores(
         stacked, order, lambda n: [1 + (n - 1) * i // k for i in range(1, k)], by="_metric"
     )
 
-    scored = df
+    scores = {}
     for j, (out, (value, up)) in enumerate(specs.items()):
         score = F.lit(1)
         for cut in cuts.get(j, []):
             at = Row(**{value: cut[f"_v{j}"], **{t: cut[t] for t in tie}})
             beyond = follows([(value, up)] + [(t, True) for t in tie], at)
             score = score + F.when(beyond, 1).otherwise(0)
-        scored = scored.withColumn(out, F.when(F.col(value).isNotNull(), score))
-    return scored
+        scores[out] = F.when(F.col(value).isNotNull(), score)
+    return df.withColumns(scores)
 
 
 def quantile_score(

@@ -24,6 +24,8 @@ from patronlens.operators.sampling import stratified_split
 from patronlens.workspace import enable_model_checkpoints, materialize
 
 SHELF = 10_000
+# The tasks of a shuffle are multiplied by one for every so many products.
+PRODUCTS_PER_TASK = 1_000
 # Copies of each shelf when there are several, so that one shelf is not one task.
 SHELF_COPIES = 64
 # A score of twelve digits and a shelf position share one 64-bit number.
@@ -37,10 +39,9 @@ RANKER_FEATURES = [
 ]
 
 
-def _stock_shelves(products: DataFrame, limit: int) -> tuple[DataFrame, int]:
+def _stock_shelves(products: DataFrame, n_products: int, limit: int) -> tuple[DataFrame, int]:
     """Shelves of at most about `limit` products in name order: (`_shelf`, `_stock`), and their number."""
-    n = products.count()
-    shelves = 1 if n <= limit else -(-2 * n // limit)
+    shelves = 1 if n_products <= limit else -(-2 * n_products // limit)
     product = F.struct("product_name", "product_id", "category", "unit_price")
     stocked = (
         products.withColumn("_shelf", F.pmod(F.xxhash64("product_id"), F.lit(shelves)).cast("int"))
@@ -66,6 +67,16 @@ def _baskets(sales: DataFrame, stocked: DataFrame) -> DataFrame:
     )
 
 
+def _spread(rows: DataFrame, n_products: int) -> DataFrame:
+    """Customers over tasks by the work ahead, not by the few bytes they have now.
+
+    Each row will be set against every product of its shelf. A fixed number of partitions
+    keeps adaptive execution from merging these small rows into one task.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks * max(1, n_products // PRODUCTS_PER_TASK), "customer_id")
+
+
 class _Floor(NamedTuple):
     rows: DataFrame
     stocked: DataFrame
@@ -80,13 +91,14 @@ def _shop_floor(customers: DataFrame, sales: DataFrame, products: DataFrame | No
     """
     if products is None:
         products = materialize(product_dimension(sales), "products")
-    stocked, shelves = _stock_shelves(products, limit)
+    n_products = products.count()
+    stocked, shelves = _stock_shelves(products, n_products, limit)
     baskets = _baskets(sales, stocked)
     nothing = F.array().cast("array<int>")
     bought = F.coalesce(F.col("_bought"), nothing)
     if shelves == 1:
         rows = customers.join(baskets, "customer_id", "left").withColumn("_shelf", F.lit(0))
-        rows = rows.withColumns({"_bought": bought, "_draws": F.size(bought)})
+        rows = _spread(rows.withColumns({"_bought": bought, "_draws": F.size(bought)}), n_products)
         # At most `limit` products: the single shelf is a constant of the plan.
         rows = rows.withColumn("_stock", stocked.select("_stock").scalar())
     else:
@@ -99,6 +111,9 @@ def _shop_floor(customers: DataFrame, sales: DataFrame, products: DataFrame | No
             .withColumns({"_shelf": every, "_copy": copy, "_draws": F.coalesce("_draws", F.lit(0))})
             .join(baskets, ["customer_id", "_shelf"], "left")
             .withColumn("_bought", bought)
+        )
+        rows = (
+            _spread(rows, n_products)
             .join(stocked.withColumn("_copy", copies), ["_shelf", "_copy"])
             .drop("_copy")
         )

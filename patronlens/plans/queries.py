@@ -153,8 +153,11 @@ def fill_from_column(spark, sf_dir):
     wide = _customers_with(
         spark, sf_dir, features.order_features(sales, views.AS_OF), features.top_channel(sales)
     )
-    wide = cleaning.fill_from(wide, "recency_days", fn.whole_days(views.AS_OF, "signup_date"))
-    wide = cleaning.fill_from(wide, "top_purchase_channel", F.col("preferred_channel"))
+    wide = cleaning.fill_from(
+        wide,
+        recency_days=fn.whole_days(views.AS_OF, "signup_date"),
+        top_purchase_channel=F.col("preferred_channel"),
+    )
     return wide.select("customer_id", "recency_days", "top_purchase_channel")
 
 
@@ -522,7 +525,8 @@ def roc_points(spark, sf_dir):
 
 def _fixed_metrics(spark, sf_dir, kind, name=None):
     pred = _fixed_predictions(spark, sf_dir, kind)
-    return evaluation.evaluate_binary(pred, model=name or churn.MODEL_NAMES[kind])
+    row = evaluation.evaluate_binary(pred, model=name or churn.MODEL_NAMES[kind])
+    return materialize(row, "metrics")
 
 
 @query("metrics_upsert")
@@ -560,8 +564,9 @@ def k_sweep(spark, sf_dir):
 
 def _churn_query(kind):
     def run(spark, sf_dir):
-        pred = stages.churn_predictions(spark, sf_dir, kind)
-        return evaluation.evaluate_binary(materialize(pred, "predictions"), model=churn.MODEL_NAMES[kind])
+        pred = materialize(stages.churn_predictions(spark, sf_dir, kind), "predictions")
+        row = evaluation.evaluate_binary(pred, model=churn.MODEL_NAMES[kind])
+        return materialize(row, "metrics")
 
     return run
 

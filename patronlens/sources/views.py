@@ -10,6 +10,7 @@ import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from patronlens.functions.columns import line_revenue
 
@@ -18,8 +19,15 @@ EVENT_SHIFT_DAYS = 8217
 CHANNELS = ["Online", "In-Store", "Marketplace", "B2B Direct"]
 
 
+_layouts: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its layout is read from the file once and declared afterwards."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _layouts:
+        _layouts[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_layouts[path]).parquet(path)
 
 
 def _channel(number: Column) -> Column:
