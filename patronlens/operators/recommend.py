@@ -57,24 +57,23 @@ def _index(stocked: DataFrame) -> DataFrame:
     return placed.select("_shelf", (F.col("_p") + 1).alias("_p"), "_product.product_id", "_product.product_name")
 
 
-def _baskets(sales: DataFrame, stocked: DataFrame) -> DataFrame:
-    """Per customer and shelf, the positions of the products bought."""
-    bought = sales.select("customer_id", "product_id").dropna().distinct()
-    return (
-        bought.join(_index(stocked), "product_id")
-        .groupBy("customer_id", "_shelf")
-        .agg(F.sort_array(F.collect_list("_p")).alias("_bought"))
-    )
+def _baskets(bought: DataFrame, stocked: DataFrame, shelves: int) -> DataFrame:
+    """Per customer (and shelf, if there are several) the positions of the products bought."""
+    pairs = bought.select("customer_id", "product_id").dropna().distinct()
+    keys = ["customer_id"] if shelves == 1 else ["customer_id", "_shelf"]
+    positions = F.sort_array(F.collect_list("_p")).alias("_bought")
+    return pairs.join(_index(stocked), "product_id").groupBy(*keys).agg(positions)
 
 
 def _spread(rows: DataFrame, n_products: int) -> DataFrame:
     """Customers over tasks by the work ahead, not by the few bytes they have now.
 
     Each row will be set against every product of its shelf. A fixed number of partitions
-    keeps adaptive execution from merging these small rows into one task.
+    keeps adaptive execution from merging these small rows into one task. The number differs
+    from that of the joins before it, or the planner would take it for redundant.
     """
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(tasks * max(1, n_products // PRODUCTS_PER_TASK), "customer_id")
+    return rows.repartition(tasks * (2 + n_products // PRODUCTS_PER_TASK), "customer_id")
 
 
 class _Floor(NamedTuple):
@@ -83,22 +82,20 @@ class _Floor(NamedTuple):
     shelves: int
 
 
-def _shop_floor(customers: DataFrame, sales: DataFrame, products: DataFrame | None, limit: int) -> _Floor:
+def _shop_floor(customers: DataFrame, bought: DataFrame, products: DataFrame, limit: int) -> _Floor:
     """`customers` once per shelf, with `_stock`, and `_bought` and `_unseen` (positions).
 
     `_draws` is the size of the whole basket. The stock comes last, so that it is not part
     of the rows that the joins before it move.
     """
-    if products is None:
-        products = materialize(product_dimension(sales), "products")
     n_products = products.count()
     stocked, shelves = _stock_shelves(products, n_products, limit)
-    baskets = _baskets(sales, stocked)
+    baskets = _baskets(bought, stocked, shelves)
     nothing = F.array().cast("array<int>")
-    bought = F.coalesce(F.col("_bought"), nothing)
+    basket = F.coalesce(F.col("_bought"), nothing)
     if shelves == 1:
         rows = customers.join(baskets, "customer_id", "left").withColumn("_shelf", F.lit(0))
-        rows = _spread(rows.withColumns({"_bought": bought, "_draws": F.size(bought)}), n_products)
+        rows = _spread(rows.withColumns({"_bought": basket, "_draws": F.size(basket)}), n_products)
         # At most `limit` products: the single shelf is a constant of the plan.
         rows = rows.withColumn("_stock", stocked.select("_stock").scalar())
     else:
@@ -110,7 +107,7 @@ def _shop_floor(customers: DataFrame, sales: DataFrame, products: DataFrame | No
             customers.join(sizes, "customer_id", "left")
             .withColumns({"_shelf": every, "_copy": copy, "_draws": F.coalesce("_draws", F.lit(0))})
             .join(baskets, ["customer_id", "_shelf"], "left")
-            .withColumn("_bought", bought)
+            .withColumn("_bought", basket)
         )
         rows = (
             _spread(rows, n_products)
@@ -144,6 +141,16 @@ def buyers(sales: DataFrame) -> DataFrame:
     return sales.select("customer_id").dropna().distinct()
 
 
+def condense(sales: DataFrame) -> DataFrame:
+    """Spend per customer, product and category, written once.
+
+    Baskets, buyers and category shares come out of it as they would out of the lines.
+    """
+    keys = ["customer_id", "product_id", "category"]
+    spent = sales.where(F.col("customer_id").isNotNull()).groupBy(*keys)
+    return materialize(spent.agg(F.sum("revenue").alias("revenue")), "condensed")
+
+
 def candidate_counts(
     customers: DataFrame, sales: DataFrame, products: DataFrame | None = None
 ) -> DataFrame:
@@ -181,7 +188,7 @@ def unpurchased_summary(
     customers: DataFrame, sales: DataFrame, products: DataFrame | None = None, limit: int = SHELF
 ) -> DataFrame:
     """Per customer the unpurchased products: how many, first and last name, sum of prices."""
-    floor = _shop_floor(customers.select("customer_id"), sales, products, limit)
+    floor = _shop_floor(customers.select("customer_id"), condense(sales), _products(sales, products), limit)
     names = F.transform("_unseen", lambda p: _product(p)["product_name"])
     prices = F.transform("_unseen", lambda p: _product(p)["unit_price"].cast("decimal(28,2)"))
     zero = F.lit(0).cast("decimal(28,2)")
@@ -222,13 +229,14 @@ def training_pairs(
     left. With `features` (customer_id and the three customer columns) every pair carries
     the ranker's features.
     """
-    people = buyers(sales)
+    bought = condense(sales)
+    people = buyers(bought)
     if features is None:
         people = people.withColumns({c: F.lit(0.0) for c in CUSTOMER_FEATURES})
     else:
         people = people.join(features.select("customer_id", *CUSTOMER_FEATURES), "customer_id", "left")
-    people = people.join(category_shares(sales), "customer_id", "left")
-    floor = _shop_floor(people, sales, products, limit)
+    people = people.join(category_shares(bought), "customer_id", "left")
+    floor = _shop_floor(people, bought, _products(sales, products), limit)
 
     def ticket(p: Column) -> Column:
         parts = (F.col("customer_id").cast("string"), _product(p)["product_id"], F.lit(str(seed)))
@@ -295,9 +303,16 @@ def score_pairs(model: PipelineModel, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs).select(*pairs.columns, score)
 
 
-def _people(customers: DataFrame, sales: DataFrame) -> DataFrame:
+def _products(sales: DataFrame, products: DataFrame | None) -> DataFrame:
+    return materialize(product_dimension(sales), "products") if products is None else products
+
+
+def _candidate_floor(customers: DataFrame, sales: DataFrame, products: DataFrame | None, limit: int) -> _Floor:
+    """All customers with their features and category shares on the shop floor."""
+    bought = condense(sales)
     people = customers.select("customer_id", *CUSTOMER_FEATURES)
-    return people.join(category_shares(sales), "customer_id", "left")
+    people = people.join(category_shares(bought), "customer_id", "left")
+    return _shop_floor(people, bought, _products(sales, products), limit)
 
 
 def _best_to_customers(customers: DataFrame, best: DataFrame) -> DataFrame:
@@ -321,7 +336,7 @@ def recommend(
     Score and shelf position travel as one 64-bit number, so a hash aggregate keeps the best
     of each task and only that is shuffled.
     """
-    floor = _shop_floor(_people(customers, sales), sales, products, limit)
+    floor = _candidate_floor(customers, sales, products, limit)
     described = F.transform("_unseen", lambda p: F.struct(p.alias("_p"), _described(p).alias("_product")))
     candidates = floor.rows.select("customer_id", "_shelf", *CUSTOMER_FEATURES, F.explode(described).alias("_c"))
     candidates = candidates.select("customer_id", "_shelf", *CUSTOMER_FEATURES, "_c._p", "_c._product.*")
@@ -354,7 +369,7 @@ def recommend_by_affinity(
     Highest category affinity, then smallest price distance, then product name. The
     minimum is taken inside the customer's row.
     """
-    floor = _shop_floor(_people(customers, sales), sales, products, limit)
+    floor = _candidate_floor(customers, sales, products, limit)
 
     def rank(p: Column) -> Column:
         product = _described(p)
