@@ -12,7 +12,7 @@ _CHANNEL = "case {0} % 4 when 0 then 'Online' when 1 then 'In-Store' when 2 then
 _K = "cast(json_extract_string(props, '$.k') as int)"
 _DAY = "cast(cast(ts as date) - 8217 as date)"
 _AS_OF = "date '2001-08-02'"
-_FIXED = "cast(cast((customer_id * {0}) % 10000 as decimal(9,0)) / 10000 as decimal(5,4))"
+_FIXED = "cast(cast((customer_id % 10000 * {0}) % 10000 as decimal(9,0)) / 10000 as decimal(5,4))"
 
 
 def _dmean(column: str) -> str:
@@ -53,19 +53,23 @@ _SALES_COLUMNS = f"""
 from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey"""
 
 PARTS: dict[str, str] = {
-    "v_customers": f"""
-select c_custkey as customer_id, split_part(c_name, '#', 1) as first_name,
-  split_part(c_name, '#', 2) as last_name, r_name as region, n_name as country,
-  c_mktsegment as customer_type,
-  cast(coalesce(first_order, date '1995-01-01') - cast(c_custkey % 365 as int) as date) as signup_date,
-  {_CHANNEL.format('c_custkey')} as preferred_channel,
-  case when c_custkey % 100 < 72 then 1 else 0 end as email_opt_in
+    "accounts": """
+select c_custkey as customer_id, c_name as name, c_nationkey as nation, c_mktsegment as customer_type,
+  cast(coalesce(first_order, date '1995-01-01') - cast(c_custkey % 365 as int) as date) as signup_date
 from customer
 left join (select o_custkey, min(cast(o_orderdate as date)) as first_order from orders group by 1)
   on o_custkey = c_custkey
-join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey""",
-    "v_sales_raw": f"select {_SALES_COLUMNS}",
-    "v_sales": f"select {_SALES_COLUMNS} where o_orderpriority = '1-URGENT'",
+union all
+select 1000000000000000 + s_suppkey, s_name, s_nationkey, 'SUPPLIER',
+  cast(date '2001-08-01' - cast((s_suppkey * 7) % 365 as int) as date)
+from supplier""",
+    "v_customers": f"""
+select customer_id, split_part(name, '#', 1) as first_name, split_part(name, '#', 2) as last_name,
+  r_name as region, n_name as country, customer_type, signup_date,
+  {_CHANNEL.format('customer_id')} as preferred_channel,
+  case when customer_id % 100 < 72 then 1 else 0 end as email_opt_in
+from accounts join nation on n_nationkey = nation join region on r_regionkey = n_regionkey""",
+    "v_sales": f"select {_SALES_COLUMNS}",
     "v_web": f"""
 select event_id as session_id, user_id as customer_id, {_DAY} as session_date,
   1 + {_K} % 10 as pages_viewed, cast(value as decimal(12,2)) as time_on_site_min,
@@ -315,7 +319,7 @@ _AUDITED = {
 }
 
 _FINAL: dict[str, str] = {
-    "sales_lines": "select * from v_sales_raw",
+    "sales_lines": "select * from v_sales",
     "scan_csv_roundtrip": "select * from v_sales",
     "enrich_master": """
 select customer_id, customer_name, churned, segment, churn_probability, predicted_churn from scored""",
@@ -432,12 +436,12 @@ from board group by segment""",
     "monthly_revenue": """
 select strftime(order_date, '%Y-%m') as order_month, cast(sum(revenue) as decimal(18,2)) as revenue,
   count(distinct order_id) as orders, count(distinct customer_id) as unique_customers
-from v_sales_raw group by 1""",
+from v_sales group by 1""",
     "dim_products": f"""
 select product_id, product_name, category, cast(sum(revenue) as decimal(18,2)) as total_revenue,
   cast(sum(quantity) as bigint) as units_sold, round(({_mean('unit_price')}) * 1e6) / 1e6 as avg_price,
   (select count(*) from best_affinity b where b.recommended_product = product_name) as times_recommended
-from v_sales_raw group by product_id, product_name, category""",
+from v_sales group by product_id, product_name, category""",
     "times_recommended": """
 select recommended_product as product_name, count(*) as times_recommended from best_affinity group by 1""",
     "kpi_cards": f"""
@@ -458,7 +462,7 @@ from board order by board.customer_value desc, customer_id limit 20""",
     "top_products": """
 select product_name, category, cast(sum(revenue) as decimal(18,2)) as total_revenue,
   cast(sum(quantity) as bigint) as units_sold
-from v_sales_raw group by product_name, category order by sum(revenue) desc, product_name limit 10""",
+from v_sales group by product_name, category order by sum(revenue) desc, product_name limit 10""",
     "retention_targets": """
 select customer_id, segment, round(customer_value * 1e6) / 1e6 as customer_value, churn_probability, revenue
 from board where churn_risk_band = 'High Risk' and value_tier = 'Platinum'""",
@@ -467,7 +471,7 @@ select customer_id, recommended_product, category, total_revenue, units_sold
 from best_affinity left join (
   select product_name, category, cast(sum(revenue) as decimal(18,2)) as total_revenue,
     cast(sum(quantity) as bigint) as units_sold
-  from v_sales_raw group by product_name, category) on product_name = recommended_product""",
+  from v_sales group by product_name, category) on product_name = recommended_product""",
     "segment_profile": f"select segment, {_rounded(CLUSTER)}, customer_count, segment_name "
     "from profile join named using (segment)",
     "segment_naming": "select * from named",

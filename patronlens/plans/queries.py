@@ -73,7 +73,7 @@ def clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sales_lines")
 def sales_lines(spark, sf_dir):
-    return views.sales_raw(spark, sf_dir)
+    return views.sales(spark, sf_dir)
 
 
 @query("scan_csv_roundtrip")
@@ -370,12 +370,12 @@ def segment_summary(spark, sf_dir):
 
 @query("monthly_revenue")
 def monthly_revenue(spark, sf_dir):
-    return exports.monthly_revenue(views.sales_raw(spark, sf_dir))
+    return exports.monthly_revenue(views.sales(spark, sf_dir))
 
 
 @query("dim_products")
 def dim_products(spark, sf_dir):
-    return exports.dim_products(views.sales_raw(spark, sf_dir), stages.enriched(spark, sf_dir))
+    return exports.dim_products(views.sales(spark, sf_dir), stages.enriched(spark, sf_dir))
 
 
 @query("times_recommended")
@@ -426,7 +426,7 @@ def top_customers(spark, sf_dir):
 
 @query("top_products")
 def top_products(spark, sf_dir):
-    products = exports.product_totals(views.sales_raw(spark, sf_dir))
+    products = exports.product_totals(views.sales(spark, sf_dir))
     return measures.top_products(products).select("product_name", "category", "total_revenue", "units_sold")
 
 
@@ -437,7 +437,7 @@ def retention_targets(spark, sf_dir):
 
 @query("recommended_product_details")
 def recommended_product_details(spark, sf_dir):
-    products = exports.product_totals(views.sales_raw(spark, sf_dir))
+    products = exports.product_totals(views.sales(spark, sf_dir))
     return measures.recommended_product_details(stages.dashboard(spark, sf_dir), products)
 
 

@@ -58,7 +58,7 @@ def customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixed_score(multiplier: int = 7919):
     """A stand-in probability that any engine can compute from the customer id."""
-    digits = (F.col("customer_id") * multiplier % 10000).cast("decimal(9,0)")
+    digits = (F.col("customer_id") % 10000 * multiplier % 10000).cast("decimal(9,0)")
     return (digits / F.lit(10000).cast("decimal(9,0)")).cast("decimal(5,4)")
 
 

@@ -1,7 +1,8 @@
 """The five customer sources as views over the star-schema test tables.
 
-Product is `p_name` and customer is `c_custkey`. Event dates are moved back so that the
-last one lies one day before the as-of date.
+Product is `p_name` and customer is `c_custkey`. Suppliers are accounts too: they never
+buy, under ids that start at `SUPPLIER_IDS`. Event dates are moved back so that the last
+one lies one day before the as-of date.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from patronlens.functions.columns import line_revenue
 
 AS_OF = datetime.date(2001, 8, 2)
 EVENT_SHIFT_DAYS = 8217
+SUPPLIER_IDS = 10**15
 CHANNELS = ["Online", "In-Store", "Marketplace", "B2B Direct"]
 
 
@@ -35,29 +37,47 @@ def _channel(number: Column) -> Column:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buyers sign up to a year before their first order, suppliers within the last year."""
     first_order = (
         table(spark, sf_dir, "orders")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.min(F.col("o_orderdate").cast("date")).alias("first_order"))
     )
-    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
-    region = table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    joined = (
+    start = F.coalesce(F.col("first_order"), F.lit(datetime.date(1995, 1, 1)))
+    buyers = (
         table(spark, sf_dir, "customer")
         .join(first_order, "c_custkey", "left")
-        .join(nation, "c_nationkey")
-        .join(region, "n_regionkey")
+        .select(
+            F.col("c_custkey").alias("customer_id"),
+            F.col("c_name").alias("name"),
+            F.col("c_nationkey").alias("n_nationkey"),
+            F.col("c_mktsegment").alias("customer_type"),
+            F.date_sub(start, (F.col("c_custkey") % 365).cast("int")).alias("signup_date"),
+        )
     )
-    key = F.col("c_custkey")
-    start = F.coalesce(F.col("first_order"), F.lit(datetime.date(1995, 1, 1)))
-    return joined.select(
-        key.alias("customer_id"),
-        F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
-        F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
+    last_day = F.lit(AS_OF - datetime.timedelta(days=1))
+    suppliers = table(spark, sf_dir, "supplier").select(
+        (F.col("s_suppkey") + SUPPLIER_IDS).alias("customer_id"),
+        F.col("s_name").alias("name"),
+        F.col("s_nationkey").alias("n_nationkey"),
+        F.lit("SUPPLIER").alias("customer_type"),
+        F.date_sub(last_day, (F.col("s_suppkey") * 7 % 365).cast("int")).alias("signup_date"),
+    )
+    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
+    placed = (
+        buyers.unionByName(suppliers)
+        .join(nation, "n_nationkey")
+        .join(table(spark, sf_dir, "region"), "r_regionkey")
+    )
+    key = F.col("customer_id")
+    return placed.select(
+        key,
+        F.split_part("name", F.lit("#"), F.lit(1)).alias("first_name"),
+        F.split_part("name", F.lit("#"), F.lit(2)).alias("last_name"),
         F.col("r_name").alias("region"),
         F.col("n_name").alias("country"),
-        F.col("c_mktsegment").alias("customer_type"),
-        F.date_sub(start, (key % 365).cast("int")).alias("signup_date"),
+        "customer_type",
+        "signup_date",
         _channel(key).alias("preferred_channel"),
         F.when(key % 100 < 72, 1).otherwise(0).alias("email_opt_in"),
     )
@@ -83,14 +103,8 @@ def sales_lines(orders: DataFrame, lines: DataFrame, parts: DataFrame) -> DataFr
     )
 
 
-def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_lines(*[table(spark, sf_dir, t) for t in ("orders", "lineitem", "part")])
-
-
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of urgent orders only, so that some customers never bought."""
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
-    return sales_lines(orders, table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
+    return sales_lines(*[table(spark, sf_dir, t) for t in ("orders", "lineitem", "part")])
 
 
 def _events(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:

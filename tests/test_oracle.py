@@ -19,7 +19,7 @@ def test_query_agrees_with_sql(spark, sf_dir, con, name):
 def test_entry_gives_one_row_per_customer(spark):
     table = entry(spark)
     assert len(table.columns) == 40
-    assert table.count() == table.select("customer_id").distinct().count() == 150
+    assert table.count() == table.select("customer_id").distinct().count() == 160
 
 
 def test_every_statement_has_a_query():
