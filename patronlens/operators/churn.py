@@ -118,11 +118,11 @@ def churn_scores(model: PipelineModel, customers: DataFrame) -> DataFrame:
     )
 
 
-def feature_importance(spark, model: PipelineModel) -> DataFrame:
-    """Importance per feature, highest first."""
+def feature_importance(spark, model: PipelineModel, n: int | None = None) -> DataFrame:
+    """Importance per feature, highest first; with `n` the top drivers only."""
     weights = [float(w) for w in model.stages[-1].featureImportances.toArray()]
     rows = sorted(zip(model.stages[0].getInputCols(), weights), key=lambda r: (-r[1], r[0]))
-    return spark.createDataFrame(rows, "feature string, importance double")
+    return spark.createDataFrame(rows[:n], "feature string, importance double")
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -177,6 +177,7 @@ def test_importance_lists_every_feature(spark, customers):
     rows = churn.feature_importance(spark, model).collect()
     assert {r["feature"] for r in rows} == set(churn.CHURN_FEATURES)
     assert sum(r["importance"] for r in rows) == pytest.approx(1.0)
+    assert churn.feature_importance(spark, model, 5).collect() == rows[:5]
 
 
 def test_segments_separate_planted_groups(customers):
