@@ -93,7 +93,7 @@ def build_customer_table(
 
     Every source is reduced to one row per customer before it is joined, so the joins see
     unique keys. The reduced purchases are written once: the quintile cuts and the scoring
-    projection both read them, the order lines are scanned a single time.
+    projection both read them and do not go back to the order lines.
     """
     customers, sales, web, support, marketing = (
         clean_source(df) for df in (customers, sales, web, support, marketing)
