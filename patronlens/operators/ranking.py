@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from patronlens.workspace import materialize
+from patronlens.workspace import materialize, small_table
 
 # monotonically_increasing_id keeps the partition number above this bit.
 _PART_SHIFT = 33
@@ -137,7 +137,7 @@ def global_rank(df: DataFrame, order: Order, out: str = "rank") -> DataFrame:
     for run in sorted(sized.collect(), key=lambda r: r["first"]):
         offsets.append((run["_part"], before - run["first"] + 1))
         before += run["n"]
-    shifts = df.sparkSession.createDataFrame(offsets, "_part bigint, _shift bigint")
+    shifts = small_table(df.sparkSession, offsets, "_part bigint, _shift bigint")
     ranked = placed.join(shifts, "_part").withColumn(out, F.col("_at") + F.col("_shift"))
     return ranked.drop("_part", "_at", "_shift")
 
@@ -157,7 +157,7 @@ def running_totals(df: DataFrame, order: Order, totals: dict[str, str]) -> DataF
         offsets.append((part["_part"], *before.values()))
         before = {out: seen + (part[out] or 0) for out, seen in before.items()}
     schema = ", ".join(["_part bigint"] + [f"_before_{out} bigint" for out in totals])
-    shifts = df.sparkSession.createDataFrame(offsets, schema)
+    shifts = small_table(df.sparkSession, offsets, schema)
     inside = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     summed = placed.join(shifts, "_part").withColumns(
         {out: F.sum(column).over(inside) + F.col(f"_before_{out}") for out, column in totals.items()}

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -15,6 +18,9 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+# Exchanges of a finished write are not needed again; without this they stay until the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_folders: dict[str, str] = {}
 
 
@@ -56,10 +62,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A table of a few driver values as one literal, so that no Python runs on the executors."""
+    names = [field.split()[0] for field in schema.split(", ")]
+    typed = ",".join(":".join(field.split()) for field in schema.split(", "))
+    text = json.dumps([dict(zip(names, row)) for row in rows])
+    parsed = F.explode(F.from_json(F.lit(text), f"array<struct<{typed}>>"))
+    return spark.range(0, 1, 1, 1).select(parsed.alias("_r")).select("_r.*")
+
+
 def enable_model_checkpoints(spark: SparkSession) -> None:
     """Boosting cuts its lineage every few rounds once a checkpoint folder is known."""
     context = spark.sparkContext
