@@ -10,10 +10,12 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from patronlens.operators import churn  # noqa: E402
 from patronlens.plans import stages  # noqa: E402
 from patronlens.plans.queries import QUERIES  # noqa: E402
 from patronlens.workspace import build_session, clear_workspace  # noqa: E402
@@ -25,9 +27,24 @@ HEADLINE = [
     "top_co_purchased", "unpurchased_candidates", "negative_samples", "reco_features",
     "recommend_by_affinity", "dashboard", "value_tiers", "segment_profile", "segment_summary", "dim_products",
     "kpi_cards", "risk_kpis", "explorer_slice", "reco_by_segment", "stratified_split", "upsample_minority",
-    "roc_auc", "roc_points", "churn_logreg", "churn_rf", "kmeans_segments",
+    "roc_auc", "roc_points", "churn_logreg", "churn_rf", "churn_gbt", "churn_gbt_weighted", "model_comparison",
+    "churn_scores", "feature_importance", "model_reload_scores", "kmeans_segments", "k_sweep", "reco_ranker", "recommend_top1",
+]
+
+
+def _fit(kind):
+    def fit(spark, sf_dir):
+        return stages.churn_model(spark, sf_dir, kind)
+
+    fit.__name__ = f"fit_{kind}"
+    return fit
+
+
+# Fits are timed by themselves, before the queries that score with them.
+STAGES = [
+    stages.customer_table, stages.enriched, stages.dashboard, stages.churn_split,
+    *[_fit(kind) for kind in churn.MODEL_NAMES], stages.reco_split, stages.ranker,
 ]
-STAGES = [stages.customer_table, stages.enriched, stages.dashboard, stages.churn_split]
 
 
 def main() -> None:
@@ -35,7 +52,9 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     chosen = os.environ.get("BENCH_QUERIES")
     names = chosen.split(",") if chosen else HEADLINE
-    settings = {"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"}
+    # Where stage tables go; on a cluster a folder that all executors share.
+    folder = os.environ.get("BENCH_WORK_DIR") or tempfile.mkdtemp(prefix="patronlens-bench-")
+    settings = {"spark.checkpoint.dir": folder, "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"}
     spark = build_session(f"local[{cpus}]", "patronlens-bench", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["monthly_revenue"](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -53,9 +53,9 @@ def month_bucket(date) -> Column:
 
 
 def line_revenue(gross, discount) -> Column:
-    """Discounted line amount in cents precision, on decimals throughout."""
-    kept = F.lit(1).cast("decimal(3,2)") - _col(discount).cast("decimal(3,2)")
-    net = (_col(gross).cast("decimal(12,2)") * kept).cast("decimal(18,4)")
+    """Discounted line amount in cents precision, on decimals throughout; the discount has up to four digits."""
+    kept = F.lit(1).cast("decimal(5,4)") - _col(discount).cast("decimal(5,4)")
+    net = (_col(gross).cast("decimal(12,2)") * kept).cast("decimal(20,6)")
     return F.round(net, 2).cast("decimal(18,2)")
 
 

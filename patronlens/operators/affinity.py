@@ -59,9 +59,12 @@ def category_shares(sales: DataFrame) -> DataFrame:
 
 
 def category_affinity(sales: DataFrame, categories: list[str] | None = None) -> DataFrame:
-    """Share of spend for every buyer and category, zero shares included."""
-    categories = categories or category_names(sales)
-    every = F.explode(F.array(*[F.lit(c) for c in categories])).alias("category")
+    """Share of spend for every buyer and category, zero shares included: customers x categories rows by definition."""
+    if categories is None:
+        names = sales.select("category").where(F.col("category").isNotNull()).distinct()
+        every = F.explode(names.agg(F.sort_array(F.collect_list("category"))).scalar()).alias("category")
+    else:
+        every = F.explode(F.lit(list(categories))).alias("category")
     long = category_shares(sales).select("customer_id", "shares", every)
     share = F.coalesce(F.col("shares")[F.col("category")], F.lit(0.0))
     return long.select("customer_id", "category", share.alias("category_affinity"))

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from patronlens.functions.columns import predicted_flag
 from patronlens.operators.evaluation import class_weights
-from patronlens.operators.sampling import stratified_split
-from patronlens.workspace import enable_model_checkpoints
+from patronlens.operators.sampling import FIT_PARTITIONS, in_fixed_layout, stratified_split, upsample_minority
+from patronlens.workspace import enable_model_checkpoints, materialize
 
-# The label is a rule over recency, so no recency column is a feature.
+# The classifier's inputs. The label is a rule over recency, so no recency column is a feature.
 CHURN_FEATURES = [
     "frequency", "monetary", "avg_order_value", "purchase_freq_per_year",
     "total_sessions", "avg_pages_per_session", "avg_time_on_site", "cart_adds",
@@ -23,8 +23,6 @@ CHURN_FEATURES = [
     "tenure_years", "email_opt_in", "RFM_total",
 ]
 
-ROWS_PER_TASK = 2000
-
 MODEL_NAMES = {
     "logreg": "Logistic Regression",
     "rf": "Random Forest",
@@ -52,7 +50,7 @@ def _learner(kind: str, n: int, params: dict):
         penalty = (n - 1) / (n * n)
         defaults = {
             "maxIter": 1000, "regParam": penalty, "elasticNetParam": 0.0,
-            "standardization": False, "featuresCol": "scaled",
+            "standardization": False, "featuresCol": "scaled", "tol": 1e-4,
         }
         return LogisticRegression(**{**common, **defaults, **params})
     if kind == "rf":
@@ -72,13 +70,18 @@ def _learner(kind: str, n: int, params: dict):
     raise ValueError(f"unknown kind of model: {kind}")
 
 
-def fit_churn(train: DataFrame, kind: str = "logreg", **params) -> PipelineModel:
+def fit_churn(
+    train: DataFrame, kind: str = "logreg", partitions: int = FIT_PARTITIONS, resample: bool = False, **params
+) -> PipelineModel:
     """Fit one classifier on `label` and the churn features.
 
     Classes are balanced by weights: n / (2 n_class) for the regression and the forest; for
     the boosted trees positives weigh n_negative / n_positive, which stands for resampling
-    one class to the size of the other without writing the copies.
+    one class to the size of the other without writing the copies. `resample` writes them
+    instead. The fit depends on the rows, the seed and `partitions` only.
     """
+    if resample:
+        train = materialize(upsample_minority(train, "label", ["customer_id"]), "resampled")
     enable_model_checkpoints(train.sparkSession)
     sizes = class_weights(train).first()
     n = sizes["n_negative"] + sizes["n_positive"]
@@ -88,10 +91,7 @@ def fit_churn(train: DataFrame, kind: str = "logreg", **params) -> PipelineModel
         weights = (1.0, sizes["positive_ratio"])
     weight = F.when(F.col("label") == 0, F.lit(weights[0])).otherwise(F.lit(weights[1]))
     weighted = train.withColumn("weight", weight)
-    # A small table may sit in fewer files than there are cores.
-    tasks = min(train.sparkSession.sparkContext.defaultParallelism, n // ROWS_PER_TASK + 1)
-    if weighted.rdd.getNumPartitions() < tasks:
-        weighted = weighted.repartition(tasks, "customer_id")
+    weighted = in_fixed_layout(weighted, ["customer_id"], partitions)
     stages = [VectorAssembler(inputCols=CHURN_FEATURES, outputCol="features")]
     if kind == "logreg":
         stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True))

@@ -24,6 +24,7 @@ from patronlens.operators.features import (
 from patronlens.operators.ranking import quantile_scores
 from patronlens.workspace import materialize
 
+# The columns of the customer table, in order.
 CUSTOMER_COLUMNS = [
     "customer_id", "customer_name", "region", "country", "customer_type", "signup_date",
     "preferred_channel", "email_opt_in",
@@ -37,6 +38,7 @@ CUSTOMER_COLUMNS = [
     "churned",
 ]
 
+# Columns that are 0 for customers without activity.
 ZERO_FILLED = [
     "frequency", "monetary", "avg_order_value", "total_units", "total_sessions",
     "avg_pages_per_session", "avg_time_on_site", "cart_adds", "total_tickets",

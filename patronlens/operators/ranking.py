@@ -18,6 +18,8 @@ from patronlens.workspace import materialize, small_table
 
 # monotonically_increasing_id keeps the partition number above this bit.
 _PART_SHIFT = 33
+# Values that `by` may have in order_statistics: the driver sees a row per partition and value.
+MOST_GROUPS = 1000
 
 Order = Sequence[tuple[str, bool]]
 
@@ -51,6 +53,8 @@ def order_statistics(
     full_order = [(name, True) for name in group] + list(order)
     placed = place(df.select(*columns), full_order)
     runs: dict[object, list[Row]] = {}
+    if by and placed.select(by).distinct().limit(MOST_GROUPS + 1).count() > MOST_GROUPS:
+        raise ValueError(f"{by} has more than {MOST_GROUPS} values: it must be a label or an id of a metric")
     sized = placed.groupBy("_part", *group).agg(F.count("*").alias("n"), F.min("_at").alias("first"))
     for run in sorted(sized.collect(), key=lambda r: r["first"]):
         runs.setdefault(run[by] if by else None, []).append(run)

@@ -1,16 +1,14 @@
-"""Next-product recommendation: sampling, features, ranking model and the best product.
+"""Next-product recommendation: sampling, features, ranking model and the best products.
 
-The candidates of a customer are the catalogue minus the basket. They are never joined or
-stored as rows: a customer's row carries its basket as positions in a shelf (an array of
-products), and the difference is taken inside the row. A shelf holds at most `SHELF`
-products; a larger catalogue is cut into several shelves and a customer is handled once
-per shelf, so nothing depends on the catalogue being small.
+The candidates of a customer are the catalogue minus the basket. What can be told from the basket
+alone is: counts and sums are totals minus the basket's, the first candidate is the first gap in
+the basket's ranks, the nearest prices lie within the basket's size on both sides, and random candidates
+come from a walk over the catalogue that is as long as the basket and the draw. Only the ranking
+model looks at every candidate, because a score is asked for each.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -20,18 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from patronlens.operators.affinity import category_shares, product_dimension
-from patronlens.operators.sampling import stratified_split
+from patronlens.operators.ranking import global_rank, running_totals
+from patronlens.operators.sampling import FIT_PARTITIONS, in_fixed_layout, stratified_split
 from patronlens.workspace import enable_model_checkpoints, materialize
 
+# Products that one row carries while candidates are scored; larger catalogues take several rows a customer.
 SHELF = 10_000
-# The tasks of a shuffle are multiplied by one for every so many products.
-PRODUCTS_PER_TASK = 1_000
-# Copies of each shelf when there are several, so that one shelf is not one task.
-SHELF_COPIES = 64
-# A score of twelve digits and a shelf position share one 64-bit number.
-_SCORE_UNITS = 10**12
-_POSITIONS = 2**20
+# Equal scores up to this many digits are ties.
+SCORE_DIGITS = 12
 
+# The ranker's inputs.
 CUSTOMER_FEATURES = ["avg_order_value", "frequency", "RFM_total"]
 RANKER_FEATURES = [
     "category_affinity", "avg_order_value", "frequency", "RFM_total",
@@ -39,102 +35,11 @@ RANKER_FEATURES = [
 ]
 
 
-def _stock_shelves(products: DataFrame, n_products: int, limit: int) -> tuple[DataFrame, int]:
-    """Shelves of at most about `limit` products in name order: (`_shelf`, `_stock`), and their number."""
-    shelves = 1 if n_products <= limit else -(-2 * n_products // limit)
-    product = F.struct("product_name", "product_id", "category", "unit_price")
-    stocked = (
-        products.withColumn("_shelf", F.pmod(F.xxhash64("product_id"), F.lit(shelves)).cast("int"))
-        .groupBy("_shelf")
-        .agg(F.sort_array(F.collect_list(product)).alias("_stock"))
-    )
-    return materialize(stocked, "shelves"), shelves
-
-
-def _index(stocked: DataFrame) -> DataFrame:
-    """Every product with its shelf and 1-based position."""
-    placed = stocked.select("_shelf", F.posexplode("_stock").alias("_p", "_product"))
-    return placed.select("_shelf", (F.col("_p") + 1).alias("_p"), "_product.product_id", "_product.product_name")
-
-
-def _baskets(bought: DataFrame, stocked: DataFrame, shelves: int) -> DataFrame:
-    """Per customer (and shelf, if there are several) the positions of the products bought."""
-    pairs = bought.select("customer_id", "product_id").dropna().distinct()
-    keys = ["customer_id"] if shelves == 1 else ["customer_id", "_shelf"]
-    positions = F.sort_array(F.collect_list("_p")).alias("_bought")
-    return pairs.join(_index(stocked), "product_id").groupBy(*keys).agg(positions)
-
-
-def _spread(rows: DataFrame, n_products: int) -> DataFrame:
-    """Customers over tasks by the work ahead, not by the few bytes they have now.
-
-    Each row will be set against every product of its shelf. A fixed number of partitions
-    keeps adaptive execution from merging these small rows into one task. The number differs
-    from that of the joins before it, or the planner would take it for redundant.
-    """
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(tasks * (2 + n_products // PRODUCTS_PER_TASK), "customer_id")
-
-
-class _Floor(NamedTuple):
-    rows: DataFrame
-    stocked: DataFrame
-    shelves: int
-
-
-def _shop_floor(customers: DataFrame, bought: DataFrame, products: DataFrame, limit: int) -> _Floor:
-    """`customers` once per shelf, with `_stock`, and `_bought` and `_unseen` (positions).
-
-    `_draws` is the size of the whole basket. The stock comes last, so that it is not part
-    of the rows that the joins before it move.
-    """
-    n_products = products.count()
-    stocked, shelves = _stock_shelves(products, n_products, limit)
-    baskets = _baskets(bought, stocked, shelves)
-    nothing = F.array().cast("array<int>")
-    basket = F.coalesce(F.col("_bought"), nothing)
-    if shelves == 1:
-        rows = customers.join(baskets, "customer_id", "left").withColumn("_shelf", F.lit(0))
-        rows = _spread(rows.withColumns({"_bought": basket, "_draws": F.size(basket)}), n_products)
-        # At most `limit` products: the single shelf is a constant of the plan.
-        rows = rows.withColumn("_stock", stocked.select("_stock").scalar())
-    else:
-        every = F.explode(F.sequence(F.lit(0), F.lit(shelves - 1)))
-        copy = F.pmod(F.xxhash64("customer_id"), F.lit(SHELF_COPIES)).cast("int")
-        copies = F.explode(F.sequence(F.lit(0), F.lit(SHELF_COPIES - 1)))
-        sizes = baskets.groupBy("customer_id").agg(F.sum(F.size("_bought")).cast("int").alias("_draws"))
-        rows = (
-            customers.join(sizes, "customer_id", "left")
-            .withColumns({"_shelf": every, "_copy": copy, "_draws": F.coalesce("_draws", F.lit(0))})
-            .join(baskets, ["customer_id", "_shelf"], "left")
-            .withColumn("_bought", basket)
-        )
-        rows = (
-            _spread(rows, n_products)
-            .join(stocked.withColumn("_copy", copies), ["_shelf", "_copy"])
-            .drop("_copy")
-        )
-    all_positions = F.when(F.size("_stock") > 0, F.sequence(F.lit(1), F.size("_stock")))
-    unseen = F.array_except(F.coalesce(all_positions, nothing), "_bought")
-    return _Floor(rows.withColumn("_unseen", unseen), stocked, shelves)
-
-
-def _product(position: Column) -> Column:
-    return F.element_at(F.col("_stock"), position)
-
-
-def _described(position: Column) -> Column:
-    """A product with the customer's affinity to its category and its price distance."""
-    product = _product(position)
-    price = product["unit_price"].cast("double")
-    distance = F.abs(price - F.col("avg_order_value"))
-    return F.struct(
-        product["product_id"].alias("product_id"),
-        product["product_name"].alias("product_name"),
-        F.coalesce(F.col("shares")[product["category"]], F.lit(0.0)).alias("category_affinity"),
-        F.coalesce(price, F.lit(0.0)).alias("unit_price"),
-        F.coalesce(distance, F.lit(0.0)).alias("price_diff_from_avg_order"),
-    )
+# The two settings of the ranker.
+RANKERS = {
+    "ranker": {"rounds": 150, "depth": 3, "rate": 0.1},
+    "ranker_deep": {"rounds": 200, "depth": 4, "rate": 0.1},
+}
 
 
 def buyers(sales: DataFrame) -> DataFrame:
@@ -151,13 +56,27 @@ def condense(sales: DataFrame) -> DataFrame:
     return materialize(spent.agg(F.sum("revenue").alias("revenue")), "condensed")
 
 
+def _catalogue(sales: DataFrame, products: DataFrame | None) -> DataFrame:
+    """The products with `_rank`, their place by name."""
+    found = product_dimension(sales) if products is None else products
+    named = materialize(found.select("product_id", "product_name", "category", "unit_price"), "products")
+    return materialize(global_rank(named, [("product_name", True), ("product_id", True)], "_rank"), "catalogue")
+
+
+def _baskets(bought: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Distinct products of the catalogue that each customer bought."""
+    pairs = bought.select("customer_id", "product_id").dropna().distinct()
+    return pairs.join(catalogue, "product_id")
+
+
 def candidate_counts(
     customers: DataFrame, sales: DataFrame, products: DataFrame | None = None
 ) -> DataFrame:
-    """Catalogue size, basket size and number of candidates per customer."""
+    """Catalogue size, number of its products in the basket, and of candidates per customer."""
     products = product_dimension(sales) if products is None else products
     baskets = sales.select("customer_id", "product_id").dropna().distinct()
-    sizes = baskets.groupBy("customer_id").agg(F.count("*").alias("_n"))
+    known = baskets.join(products.select("product_id"), "product_id", "left_semi")
+    sizes = known.groupBy("customer_id").agg(F.count("*").alias("_n"))
     counted = customers.select("customer_id").join(sizes, "customer_id", "left")
     n_products = products.agg(F.count("*").alias("n")).scalar()
     n_bought = F.coalesce(F.col("_n"), F.lit(0))
@@ -184,35 +103,73 @@ def never_bought(customers: DataFrame, sales: DataFrame) -> DataFrame:
     )
 
 
-def unpurchased_summary(
-    customers: DataFrame, sales: DataFrame, products: DataFrame | None = None, limit: int = SHELF
-) -> DataFrame:
-    """Per customer the unpurchased products: how many, first and last name, sum of prices."""
-    floor = _shop_floor(customers.select("customer_id"), condense(sales), _products(sales, products), limit)
-    names = F.transform("_unseen", lambda p: _product(p)["product_name"])
-    prices = F.transform("_unseen", lambda p: _product(p)["unit_price"].cast("decimal(28,2)"))
-    zero = F.lit(0).cast("decimal(28,2)")
-    per_shelf = floor.rows.select(
-        "customer_id",
-        F.size("_unseen").alias("n"),
-        F.array_min(names).alias("first"),
-        F.array_max(names).alias("last"),
-        F.aggregate(prices, zero, lambda acc, p: (acc + p).cast("decimal(28,2)")).alias("value"),
+def unpurchased_summary(customers: DataFrame, sales: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """Per customer the unpurchased products: how many, first and last name, sum of prices.
+
+    A basket whose i-th product has rank i holds the first i of the catalogue, so the products
+    for which that is so are the run before the first gap; from the other end likewise.
+    """
+    catalogue = _catalogue(sales, products)
+    price = F.col("unit_price").cast("decimal(28,2)")
+    whole = catalogue.agg(F.count("*").alias("n"), F.sum(price).alias("value")).first()
+    n_products = F.lit(whole["n"]).cast("bigint")
+    basket = _baskets(sales, catalogue).select("customer_id", "_rank", price.alias("_price"))
+    up = F.row_number().over(Window.partitionBy("customer_id").orderBy("_rank"))
+    down = F.row_number().over(Window.partitionBy("customer_id").orderBy(F.col("_rank").desc()))
+    run = basket.withColumns({"_up": up, "_down": down}).groupBy("customer_id").agg(
+        F.count("*").alias("_n"),
+        F.sum("_price").alias("_spent"),
+        F.sum((F.col("_rank") == F.col("_up")).cast("bigint")).alias("_head"),
+        F.sum((n_products + 1 - F.col("_rank") == F.col("_down")).cast("bigint")).alias("_tail"),
     )
-    if floor.shelves > 1:
-        per_shelf = per_shelf.groupBy("customer_id").agg(
-            F.sum("n").alias("n"),
-            F.min("first").alias("first"),
-            F.max("last").alias("last"),
-            F.sum("value").alias("value"),
-        )
-    return per_shelf.select(
+    per_customer = customers.select("customer_id").join(run, "customer_id", "left")
+    left = n_products - F.coalesce("_n", F.lit(0))
+    none = F.lit(None).cast("bigint")
+    gaps = per_customer.select(
         "customer_id",
-        F.col("n").cast("bigint").alias("n_candidates"),
-        F.col("first").alias("first_candidate"),
-        F.col("last").alias("last_candidate"),
-        F.col("value").alias("candidate_value"),
+        left.alias("n_candidates"),
+        F.when(left > 0, F.coalesce("_head", F.lit(0)) + 1).otherwise(none).alias("_first"),
+        F.when(left > 0, n_products - F.coalesce("_tail", F.lit(0))).otherwise(none).alias("_last"),
+        (F.lit(whole["value"] or 0).cast("decimal(28,2)") - F.coalesce("_spent", F.lit(0))).cast("decimal(28,2)").alias("candidate_value"),
     )
+    first = catalogue.select(F.col("_rank").alias("_first"), F.col("product_name").alias("first_candidate"))
+    last = catalogue.select(F.col("_rank").alias("_last"), F.col("product_name").alias("last_candidate"))
+    named = gaps.join(first, "_first", "left").join(last, "_last", "left")
+    return named.select("customer_id", "n_candidates", "first_candidate", "last_candidate", "candidate_value")
+
+
+def _prime_from(n: int) -> int:
+    """The smallest prime not below n (and not below 2)."""
+    p = max(2, n)
+    while any(p % d == 0 for d in range(2, int(p**0.5) + 1)):
+        p += 1
+    return p
+
+
+def _drawn(sizes: DataFrame, basket: DataFrame, catalogue: DataFrame, seed: int) -> DataFrame:
+    """For each customer as many unseen products as the basket has, or all there are.
+
+    The walk start + j * stride modulo a prime visits every rank once; both come from
+    md5(customer|seed). As many steps as basket, draw and the ranks beyond the catalogue hold
+    enough unseen products.
+    """
+    n = catalogue.count()
+    prime = _prime_from(n)
+    said = F.md5(F.concat_ws("|", F.col("customer_id").cast("string"), F.lit(str(seed))))
+
+    def number(start: int) -> Column:
+        return F.conv(F.substring(said, start, 15), 16, 10).cast("bigint")
+
+    steps = F.least(F.lit(prime).cast("bigint"), F.col("_n") * 2 + F.lit(prime - n))
+    walk = sizes.select(
+        "customer_id", "_n", (number(1) % prime).alias("_start"), (number(16) % (prime - 1) + 1).alias("_stride"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1)).alias("_j"),
+    )
+    at = walk.select("customer_id", "_n", "_j", ((F.col("_start") + F.col("_j") * F.col("_stride")) % prime + 1).alias("_rank"))
+    unseen = at.where(F.col("_rank") <= n).join(basket.select("customer_id", "_rank"), ["customer_id", "_rank"], "left_anti")
+    first = F.row_number().over(Window.partitionBy("customer_id").orderBy("_j"))
+    kept = unseen.withColumn("_rn", first).where(F.col("_rn") <= F.col("_n")).select("customer_id", "_rank")
+    return kept.join(catalogue, "_rank")
 
 
 def training_pairs(
@@ -220,51 +177,36 @@ def training_pairs(
     products: DataFrame | None = None,
     seed: int = 42,
     features: DataFrame | None = None,
-    limit: int = SHELF,
 ) -> DataFrame:
     """Bought products (label 1) and as many unseen ones (label 0) per buyer.
 
-    Unseen products are drawn without replacement in the order of
-    md5(customer|product|seed); a buyer who has seen most of the catalogue gets all that is
-    left. With `features` (customer_id and the three customer columns) every pair carries
-    the ranker's features.
+    A buyer who has seen most of the catalogue gets all that is left. With `features`
+    (customer_id and the three customer columns) every pair carries the ranker's features.
     """
     bought = condense(sales)
-    people = buyers(bought)
-    if features is None:
-        people = people.withColumns({c: F.lit(0.0) for c in CUSTOMER_FEATURES})
-    else:
-        people = people.join(features.select("customer_id", *CUSTOMER_FEATURES), "customer_id", "left")
-    people = people.join(category_shares(bought), "customer_id", "left")
-    floor = _shop_floor(people, bought, _products(sales, products), limit)
-
-    def ticket(p: Column) -> Column:
-        parts = (F.col("customer_id").cast("string"), _product(p)["product_id"], F.lit(str(seed)))
-        return F.struct(F.md5(F.concat_ws("|", *parts)).alias("ticket"), p.alias("p"))
-
-    def pair(p: Column, label: int, drawn: Column) -> Column:
-        product = _described(p)
-        return F.struct(F.lit(label).alias("label"), drawn.alias("ticket"), product.alias("product"))
-
-    tickets = F.sort_array(F.transform("_unseen", ticket))
-    drawn = F.slice(tickets, F.lit(1), F.col("_draws"))
-    pairs = F.concat(
-        F.transform("_bought", lambda p: pair(p, 1, F.lit(""))),
-        F.transform(drawn, lambda t: pair(t["p"], 0, t["ticket"])),
+    catalogue = _catalogue(sales, products)
+    basket = materialize(_baskets(bought, catalogue), "baskets")
+    sizes = basket.groupBy("customer_id").agg(F.count("*").alias("_n"))
+    columns = ["customer_id", "product_id", "product_name", "category", "unit_price", "label"]
+    pairs = basket.withColumn("label", F.lit(1)).select(*columns).unionByName(
+        _drawn(sizes, basket, catalogue, seed).withColumn("label", F.lit(0)).select(*columns)
     )
-    rows = floor.rows.select("customer_id", "_draws", *CUSTOMER_FEATURES, F.explode(pairs).alias("_pair"))
-    if floor.shelves > 1:
-        # Every shelf offered its lowest tickets; the lowest of all of them are the sample.
-        negatives = _lowest_tickets(rows.where(F.col("_pair.label") == 0))
-        rows = rows.where(F.col("_pair.label") == 1).unionByName(negatives)
-    kept = rows.select("customer_id", *CUSTOMER_FEATURES, "_pair.label", "_pair.product.*")
-    return kept if features is not None else kept.select("customer_id", "product_id", "label")
+    if features is None:
+        return pairs.select("customer_id", "product_id", "label")
+    people = features.select("customer_id", *CUSTOMER_FEATURES)
+    shares = category_shares(bought).select("customer_id", F.explode("shares").alias("category", "category_affinity"))
+    described = pairs.join(people, "customer_id", "left").join(shares, ["customer_id", "category"], "left")
+    return _described(described)
 
 
-def _lowest_tickets(rows: DataFrame) -> DataFrame:
-    window = Window.partitionBy("customer_id").orderBy("_pair.ticket")
-    numbered = rows.withColumn("_rn", F.row_number().over(window))
-    return numbered.where(F.col("_rn") <= F.col("_draws")).drop("_rn")
+def _described(pairs: DataFrame) -> DataFrame:
+    """Pairs with the customer's affinity to the category and the price distance, nulls as zero."""
+    distance = F.abs(F.col("unit_price").cast("double") - F.col("avg_order_value"))
+    return pairs.withColumns({
+        "category_affinity": F.coalesce("category_affinity", F.lit(0.0)),
+        "price_diff_from_avg_order": F.coalesce(distance, F.lit(0.0)),
+        "unit_price": F.coalesce(F.col("unit_price").cast("double"), F.lit(0.0)),
+    })
 
 
 def _numeric(df: DataFrame) -> DataFrame:
@@ -275,10 +217,10 @@ def _numeric(df: DataFrame) -> DataFrame:
 
 
 def reco_features(
-    sales: DataFrame, customers: DataFrame, products: DataFrame | None = None, seed: int = 42, limit: int = SHELF
+    sales: DataFrame, customers: DataFrame, products: DataFrame | None = None, seed: int = 42
 ) -> DataFrame:
     """Training pairs with the six features of the ranker."""
-    pairs = _numeric(training_pairs(sales, products, seed, customers, limit))
+    pairs = _numeric(training_pairs(sales, products, seed, customers))
     return pairs.select("customer_id", "product_id", "label", *RANKER_FEATURES)
 
 
@@ -287,14 +229,16 @@ def pair_split(pairs: DataFrame, test: float = 0.2, seed: int = 42) -> DataFrame
 
 
 def fit_ranker(
-    pairs: DataFrame, rounds: int = 150, depth: int = 3, rate: float = 0.1, seed: int = 42
+    pairs: DataFrame, rounds: int = 150, depth: int = 3, rate: float = 0.1, seed: int = 42,
+    partitions: int = FIT_PARTITIONS,
 ) -> PipelineModel:
+    """Boosted trees over pairs; `RANKERS` names the settings. The fit depends on the pairs, the seed and `partitions` only."""
     enable_model_checkpoints(pairs.sparkSession)
     assemble = VectorAssembler(inputCols=RANKER_FEATURES, outputCol="features")
     boost = GBTClassifier(
         featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed
     )
-    return Pipeline(stages=[assemble, boost]).fit(pairs)
+    return Pipeline(stages=[assemble, boost]).fit(in_fixed_layout(pairs, ["customer_id", "product_id"], partitions))
 
 
 def score_pairs(model: PipelineModel, pairs: DataFrame) -> DataFrame:
@@ -303,18 +247,6 @@ def score_pairs(model: PipelineModel, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs).select(*pairs.columns, score)
 
 
-def _products(sales: DataFrame, products: DataFrame | None) -> DataFrame:
-    return materialize(product_dimension(sales), "products") if products is None else products
-
-
-def _candidate_floor(customers: DataFrame, sales: DataFrame, products: DataFrame | None, limit: int) -> _Floor:
-    """All customers with their features and category shares on the shop floor."""
-    bought = condense(sales)
-    people = customers.select("customer_id", *CUSTOMER_FEATURES)
-    people = people.join(category_shares(bought), "customer_id", "left")
-    return _shop_floor(people, bought, _products(sales, products), limit)
-
-
 def _best_to_customers(customers: DataFrame, best: DataFrame) -> DataFrame:
     return (
         customers.select("customer_id")
@@ -323,65 +255,138 @@ def _best_to_customers(customers: DataFrame, best: DataFrame) -> DataFrame:
     )
 
 
+def _candidates(customers: DataFrame, bought: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Every customer with every unseen product: customer features, product columns, `category`.
+
+    A shelf is an array of at most `SHELF` products. The difference to the basket is taken inside the row.
+    """
+    shelf, position = F.floor((F.col("_rank") - 1) / SHELF).cast("int"), ((F.col("_rank") - 1) % SHELF + 1).cast("int")
+    product = F.struct("product_name", "product_id", "category", "unit_price")
+    stocked = materialize(
+        catalogue.groupBy(shelf.alias("_shelf")).agg(F.sort_array(F.collect_list(product)).alias("_stock")), "shelves"
+    )
+    shelves = stocked.count()
+    seen = _baskets(bought, catalogue).select("customer_id", shelf.alias("_shelf"), position.alias("_p"))
+    seen = seen.groupBy("customer_id", "_shelf").agg(F.collect_list("_p").alias("_seen"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(max(1, shelves) - 1))).alias("_shelf")
+    people = customers.select("customer_id", *CUSTOMER_FEATURES).join(category_shares(bought), "customer_id", "left")
+    rows = people.select("*", every).join(seen, ["customer_id", "_shelf"], "left")
+    # Rows are small before they are set against the shelf: a fixed number of tasks keeps them from being merged.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, "customer_id", "_shelf").join(stocked, "_shelf")
+    nothing = F.array().cast("array<int>")
+    unseen = F.array_except(F.sequence(F.lit(1), F.size("_stock")), F.coalesce("_seen", nothing))
+    offered = rows.select("customer_id", *CUSTOMER_FEATURES, "shares", F.explode(F.transform(unseen, lambda p: F.element_at("_stock", p))).alias("_product"))
+    return offered.select("customer_id", *CUSTOMER_FEATURES, "_product.*", F.col("shares")[F.col("_product.category")].alias("category_affinity"))
+
+
 def recommend(
     customers: DataFrame,
     sales: DataFrame,
     model: PipelineModel,
     products: DataFrame | None = None,
-    limit: int = SHELF,
+    top_n: int = 1,
 ) -> DataFrame:
-    """The best-scored unpurchased product of every customer, ties by product name.
+    """The `top_n` best-scored unpurchased products of every customer, ties by product name.
 
-    Candidates leave the customer's row only to pass through the model in the same task.
-    Score and shelf position travel as one 64-bit number, so a hash aggregate keeps the best
-    of each task and only that is shuffled.
+    Candidates leave the customer's row only to pass through the model in the same task; each task
+    keeps a customer's best before anything is shuffled. With `top_n` above 1 there is a `rank`.
     """
-    floor = _candidate_floor(customers, sales, products, limit)
-    described = F.transform("_unseen", lambda p: F.struct(p.alias("_p"), _described(p).alias("_product")))
-    candidates = floor.rows.select("customer_id", "_shelf", *CUSTOMER_FEATURES, F.explode(described).alias("_c"))
-    candidates = candidates.select("customer_id", "_shelf", *CUSTOMER_FEATURES, "_c._p", "_c._product.*")
-    scored = score_pairs(model, _numeric(candidates))
-    units = F.round(F.col("score") * _SCORE_UNITS).cast("bigint")
-    packed = units * _POSITIONS + (F.lit(_POSITIONS) - F.col("_p"))
-    best = scored.groupBy("customer_id", "_shelf").agg(F.max(packed).alias("_best"))
-    best = best.select(
-        "customer_id",
-        "_shelf",
-        (F.lit(_POSITIONS) - F.col("_best") % _POSITIONS).cast("int").alias("_p"),
-        F.floor(F.col("_best") / _POSITIONS).alias("_units"),
-    ).join(_index(floor.stocked), ["_shelf", "_p"])
-    if floor.shelves > 1:
-        first = F.min(F.struct((-F.col("_units")).alias("_rank"), "product_name", "_units")).alias("_b")
-        best = best.groupBy("customer_id").agg(first).select("customer_id", "_b.product_name", "_b._units")
+    candidates = _described(_candidates(customers, condense(sales), _catalogue(sales, products)))
+    scored = score_pairs(model, _numeric(candidates)).select("customer_id", "product_name", F.round("score", SCORE_DIGITS).alias("_score"))
+    order = Window.partitionBy("customer_id").orderBy(F.col("_score").desc(), "product_name")
+    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_n)
     best = best.select(
         "customer_id",
         F.col("product_name").alias("recommended_product"),
-        F.bround(F.col("_units") / F.lit(float(_SCORE_UNITS)), 4).alias("recommendation_score"),
+        F.bround("_score", 4).alias("recommendation_score"),
+        *(["rank"] if top_n > 1 else []),
     )
-    return _best_to_customers(customers, best).na.fill(0.0, subset=["recommendation_score"])
+    filled = _best_to_customers(customers, best).na.fill(0.0, subset=["recommendation_score"])
+    return filled.na.fill(1, subset=["rank"]) if top_n > 1 else filled
 
 
-def recommend_by_affinity(
-    customers: DataFrame, sales: DataFrame, products: DataFrame | None = None, limit: int = SHELF
-) -> DataFrame:
+def _price_lists(catalogue: DataFrame) -> DataFrame:
+    """The catalogue in four orders, for every category and as a whole: `_place` numbers the lines of all lists.
+
+    Lists: prices upward, prices downward, products without a price, all by name; names settle ties.
+    """
+    price = F.col("unit_price").cast("double")
+    groups = F.filter(
+        F.array(F.struct(F.lit(True).alias("_all"), F.lit("").alias("_group")), F.struct(F.lit(False).alias("_all"), F.col("category").alias("_group"))),
+        lambda g: g["_group"].isNotNull(),
+    )
+    lists = F.array(
+        F.when(price.isNotNull(), F.struct(F.lit("up").alias("_list"), price.alias("_sort"))),
+        F.when(price.isNotNull(), F.struct(F.lit("down").alias("_list"), (-price).alias("_sort"))),
+        F.when(price.isNull(), F.struct(F.lit("free").alias("_list"), F.lit(0.0).alias("_sort"))),
+        F.struct(F.lit("name").alias("_list"), F.lit(0.0).alias("_sort")),
+    )
+    rows = catalogue.select("product_id", "product_name", price.alias("_price"), F.explode(groups).alias("_g"), F.filter(lists, lambda x: x.isNotNull()).alias("_lists"))
+    rows = rows.select("product_id", "product_name", "_price", "_g.*", F.explode("_lists").alias("_l")).select("product_id", "product_name", "_price", "_all", "_group", "_l.*")
+    order = [(c, True) for c in ("_list", "_all", "_group", "_sort", "product_name", "product_id")]
+    return materialize(global_rank(rows, order, "_place"), "price_lists")
+
+
+def _cheaper(asked: DataFrame, catalogue_prices: DataFrame) -> DataFrame:
+    """`asked` (customer_id, _all, _group, _want) with the number of products of the group below the wanted price.
+
+    Products and wants are put in one order of price; the running count of products is the answer.
+    """
+    points = catalogue_prices.select("_all", "_group", F.col("_price").alias("_x"), F.lit(1).cast("bigint").alias("_one"), "product_id")
+    wants = asked.select("_all", "_group", F.col("_want").alias("_x"), F.lit(0).cast("bigint").alias("_one"), "customer_id")
+    both = points.unionByName(wants, allowMissingColumns=True)
+    order = [(c, True) for c in ("_all", "_group", "_x", "_one", "product_id", "customer_id")]
+    counted = materialize(running_totals(both, order, {"_seen": "_one"}), "counted")
+    start = counted.groupBy("_all", "_group").agg(F.min(F.col("_seen") - F.col("_one")).alias("_start"))
+    found = counted.where("_one = 0").join(start, ["_all", "_group"])
+    return found.select("customer_id", "_all", "_group", (F.col("_seen") - F.col("_start")).alias("_below"))
+
+
+def recommend_by_affinity(customers: DataFrame, sales: DataFrame, products: DataFrame | None = None) -> DataFrame:
     """The best unpurchased product under a fixed ranking that needs no model.
 
-    Highest category affinity, then smallest price distance, then product name. The
-    minimum is taken inside the customer's row.
+    Highest category affinity, then smallest price distance, then product name. The group to look
+    in is the category (or the tied ones) of highest affinity that has an unseen product, or else the
+    whole catalogue. There the nearest unseen price is at most the basket's size away on either
+    side. A category with a negative spend counts as one without.
     """
-    floor = _candidate_floor(customers, sales, products, limit)
-
-    def rank(p: Column) -> Column:
-        product = _described(p)
-        return F.struct(
-            (-product["category_affinity"]).alias("_rank"),
-            product["price_diff_from_avg_order"].alias("_distance"),
-            product["product_name"].alias("product_name"),
-        )
-
-    best = F.array_min(F.transform("_unseen", rank))
-    ranked = floor.rows.select("customer_id", best.alias("_b"))
-    if floor.shelves > 1:
-        ranked = ranked.groupBy("customer_id").agg(F.min("_b").alias("_b"))
-    name = F.coalesce(F.col("_b.product_name"), F.lit("None"))
-    return ranked.select("customer_id", name.alias("recommended_product"))
+    bought = condense(sales)
+    catalogue = _catalogue(sales, products)
+    basket = materialize(_baskets(bought, catalogue), "baskets")
+    lists = _price_lists(catalogue)
+    people = materialize(customers.select("customer_id", F.col("avg_order_value").cast("double").alias("_want")), "people")
+
+    shares = category_shares(bought).select("customer_id", F.explode("shares").alias("_group", "_share")).where("_share > 0")
+    stock = catalogue.groupBy(F.col("category").alias("_group")).agg(F.count("*").alias("_n"))
+    held = basket.groupBy("customer_id", F.col("category").alias("_group")).agg(F.count("*").alias("_held"))
+    open_ = shares.join(stock, "_group").join(held, ["customer_id", "_group"], "left")
+    open_ = open_.withColumn("_held", F.coalesce("_held", F.lit(0))).where(F.col("_held") < F.col("_n"))
+    top = F.rank().over(Window.partitionBy("customer_id").orderBy(F.col("_share").desc()))
+    liked = materialize(open_.withColumn("_r", top).where("_r = 1").select("customer_id", "_group", "_held"), "liked")
+    sizes = basket.groupBy("customer_id").agg(F.count("*").alias("_held"))
+    others = people.join(liked, "customer_id", "left_anti").join(sizes, "customer_id", "left").select(
+        "customer_id", "_want", F.lit(True).alias("_all"), F.lit("").alias("_group"), F.coalesce("_held", F.lit(0)).alias("_held")
+    )
+    asked = people.join(liked, "customer_id").select("customer_id", "_want", F.lit(False).alias("_all"), "_group", "_held").unionByName(others)
+    asked = materialize(asked.distinct(), "asked")
+
+    below = _cheaper(asked.where("_want is not null"), lists.where("_list = 'up'"))
+    ends = lists.groupBy("_all", "_group").pivot("_list", ["up", "down", "free", "name"]).agg(F.min("_place").alias("from"), F.count("_place").alias("n"))
+    placed = asked.join(below, ["customer_id", "_all", "_group"], "left").join(ends, ["_all", "_group"])
+
+    def reach(name: str, skipped: Column) -> Column:
+        """The next places of a list, one more than the group's products in the basket, within the list."""
+        first = F.col(f"{name}_from") + skipped
+        last = F.least(first + F.col("_held"), F.col(f"{name}_from") + F.col(f"{name}_n") - 1)
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+
+    nothing = F.lit(0).cast("bigint")
+    priced = F.concat(reach("up", F.col("_below")), reach("down", F.col("up_n") - F.col("_below")), F.coalesce(reach("free", nothing), F.array().cast("array<bigint>")))
+    only_free = F.coalesce(reach("free", nothing), F.array().cast("array<bigint>"))
+    places = F.when(F.col("_want").isNull(), reach("name", nothing)).otherwise(F.coalesce(priced, only_free))
+    near = placed.select("customer_id", "_want", F.explode(places).alias("_place")).join(lists.select("_place", "product_id", "product_name", "_price"), "_place")
+    unseen = near.join(basket.select("customer_id", "product_id"), ["customer_id", "product_id"], "left_anti")
+    distance = F.coalesce(F.abs(F.col("_price") - F.col("_want")), F.lit(0.0))
+    best = unseen.groupBy("customer_id").agg(F.min(F.struct(distance.alias("d"), "product_name")).alias("_b"))
+    return _best_to_customers(customers, best.select("customer_id", F.col("_b.product_name").alias("recommended_product")))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from patronlens.functions.columns import decimal_mean
+from patronlens.operators.sampling import FIT_PARTITIONS, in_fixed_layout
 from patronlens.workspace import materialize
 
+# The clustering inputs, and which of them are skewed.
 CLUSTER_FEATURES = [
     "recency_days", "frequency", "monetary", "clv_predicted",
     "total_sessions", "avg_csat", "purchase_freq_per_year",
@@ -29,9 +32,6 @@ VALUE_LABELS = ["Champions", "Loyal High-Value", "Regular Customers", "New / Occ
 AT_RISK = "At Risk"
 DORMANT = "Lost / Dormant"
 
-# More segments than this are joined instead of looked up.
-MAX_SEGMENTS = 1000
-
 
 def _feature(name: str, logged: Sequence[str]) -> str:
     value = f"coalesce(cast({name} as double), 0D)"
@@ -95,6 +95,16 @@ def _fit_each(scaled: DataFrame, runs: Iterable[tuple[int, int]], parallelism: i
         pool.close()
 
 
+@contextmanager
+def _held(scaled: DataFrame, partitions: int) -> Iterator[DataFrame]:
+    """One cached copy in a fixed layout for all fits; its lineage is the written table."""
+    laid = in_fixed_layout(scaled, ["customer_id"], partitions).persist()
+    try:
+        yield laid
+    finally:
+        laid.unpersist()
+
+
 def fit_segments(
     df: DataFrame,
     features: Sequence[str] = CLUSTER_FEATURES,
@@ -103,10 +113,12 @@ def fit_segments(
     seed: int = 42,
     logged: Sequence[str] = LOGGED,
     parallelism: int = 4,
+    partitions: int = FIT_PARTITIONS,
 ) -> tuple[PipelineModel, DataFrame]:
     """The best of `restarts` K-Means fits, and `df` with its `segment`."""
     stages, scaled = _prepare(df, features, logged)
-    fits = _fit_each(scaled, [(k, seed + i) for i in range(restarts)], parallelism)
+    with _held(scaled, partitions) as held:
+        fits = _fit_each(held, [(k, seed + i) for i in range(restarts)], parallelism)
     best = min((m for _, m in fits), key=lambda m: m.summary.trainingCost)
     model = PipelineModel(stages=stages + [best])
     helpers = [f"_c_{f}" for f in features] + ["_assembled", "scaled"]
@@ -121,6 +133,7 @@ def sweep_k(
     seed: int = 42,
     logged: Sequence[str] = LOGGED,
     parallelism: int = 8,
+    partitions: int = FIT_PARTITIONS,
 ) -> DataFrame:
     """Inertia and silhouette per k, each for the best of `restarts` fits.
 
@@ -131,15 +144,16 @@ def sweep_k(
     n = scaled.count()
     runs = product(ks, [seed + i for i in range(restarts)])
     best: dict[int, KMeansModel] = {}
-    for k, model in _fit_each(scaled, runs, parallelism):
-        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-            best[k] = model
     evaluator = ClusteringEvaluator(featuresCol="scaled", predictionCol="segment")
-    # The scaler divides by the sample deviation; n / (n - 1) gives the population scale.
-    rows = [
-        (k, best[k].summary.trainingCost * n / (n - 1), evaluator.evaluate(best[k].transform(scaled)))
-        for k in ks
-    ]
+    with _held(scaled, partitions) as held:
+        for k, model in _fit_each(held, runs, parallelism):
+            if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+                best[k] = model
+        # The scaler divides by the sample deviation; n / (n - 1) gives the population scale.
+        rows = [
+            (k, best[k].summary.trainingCost * n / (n - 1), evaluator.evaluate(best[k].transform(held)))
+            for k in ks
+        ]
     return df.sparkSession.createDataFrame(rows, "k int, cost double, silhouette double")
 
 
@@ -195,13 +209,9 @@ def name_segments(profile: DataFrame) -> DataFrame:
 def with_segment_names(df: DataFrame) -> DataFrame:
     """Profile, name and attach `segment_name` to every customer.
 
-    The names are one row per segment. Once their number is checked they go into the plan
-    as a local table, so the customers are not shuffled on so few keys.
+    The names are one row per segment; written, their size is known to the planner.
     """
-    names = name_segments(profile_segments(df))
-    few = names.limit(MAX_SEGMENTS + 1).collect()
-    if len(few) <= MAX_SEGMENTS:
-        names = df.sparkSession.createDataFrame(few, names.schema)
+    names = materialize(name_segments(profile_segments(df)), "segment_names")
     return df.drop("segment_name").join(names, "segment", "left")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from patronlens.functions.columns import decimal_mean, mean, month_bucket, risk_band
 from patronlens.operators.ranking import quantile_score
 
+# The dashboard's columns and business names.
 DASHBOARD_COLUMNS = [
     "customer_id", "customer_name", "region", "country", "customer_type",
     "segment", "customer_value", "clv_historical", "revenue", "purchase_frequency",

@@ -27,6 +27,7 @@ def _score(rank: str, k: int = 5) -> str:
     return f"cast(greatest(1, ({k} * ({rank} - 1) + n - 2) // greatest(n - 1, 1)) as int)"
 
 
+# The clustering and churn inputs, and the test tables' categories.
 CLUSTER = [
     "recency_days", "frequency", "monetary", "clv_predicted",
     "total_sessions", "avg_csat", "purchase_freq_per_year",
@@ -211,11 +212,21 @@ from (select *, sum(revenue) over (partition by customer_id) as t from spend)"""
 select customer_id, product_id, product_name, category, unit_price from v_customers cross join products
 where not exists (select 1 from baskets b
   where b.customer_id = v_customers.customer_id and b.product_id = products.product_id)""",
+    "catalogue": "select *, row_number() over (order by product_name, product_id) as pos from products",
+    "prime": """
+select min(p) as p, min(n) as n from (
+  select unnest(range(greatest(n, 2), 2 * n + 3)) as p, n from (select count(*) as n from products))
+where len(list_filter(range(2, cast(floor(sqrt(p)) as bigint) + 1), lambda d: p % d = 0)) = 0""",
+    "walks": """
+select customer_id, n, p, catalog_n, unnest(range(least(p, 2 * n + p - catalog_n))) as j,
+  ('0x' || substr(h, 1, 15))::bigint % p as start, ('0x' || substr(h, 16, 15))::bigint % (p - 1) + 1 as stride
+from (select customer_id, count(*) as n, md5(cast(customer_id as varchar) || '|42') as h from baskets group by customer_id),
+  (select p, n as catalog_n from prime)""",
     "negatives": """
 select customer_id, product_id from (
-  select u.customer_id, u.product_id, b.n, row_number() over (partition by u.customer_id
-    order by md5(cast(u.customer_id as varchar) || '|' || u.product_id || '|42')) as rn
-  from unseen u join (select customer_id, count(*) as n from baskets group by 1) b using (customer_id))
+  select w.customer_id, c.product_id, w.n, row_number() over (partition by w.customer_id order by j) as rn
+  from walks w join catalogue c on c.pos = (start + j * stride) % p + 1
+  where not exists (select 1 from baskets b where b.customer_id = w.customer_id and b.product_id = c.product_id))
 where rn <= n""",
     "samples": """
 select customer_id, product_id, 1 as label from baskets
@@ -422,6 +433,23 @@ select t.customer_id, t.product_id, t.label, round((coalesce(s.share, 0)) * 1e6)
 from samples t join products p using (product_id) join c360 c on c.customer_id = t.customer_id
 left join shares s on s.customer_id = t.customer_id and s.category = p.category""",
     "recommend_by_affinity": "select * from best_affinity",
+    "kmeans_segments_valid": "select customer_id, true as in_range, true as named from c360",
+    "k_sweep_valid": "select cast(k as int) as k, true as cost_falls, true as silhouette_in_range from range(2, 10) as r(k)",
+    "model_comparison_valid": f"""
+select model, cast((select sum(cast(floor(n * 0.25) as bigint)) from (select count(*) as n from c360 group by churned)) as bigint) as n_test,
+  true as rates_in_range, true as auc_above_floor
+from (values ('Logistic Regression'), ('Random Forest'), ('Gradient Boosting'), ('Gradient Boosting (weighted)')) as m(model)""",
+    "churn_scores_valid": "select customer_id, true as in_range, true as flag_agrees from c360",
+    "feature_importance_valid": "select feature, true as in_range, true as sums_to_one from (values "
+    + ", ".join(f"('{c}')" for c in CHURN) + ") as f(feature)",
+    "model_reload_valid": "select customer_id, true as equal from c360",
+    "reco_ranker_valid": """
+select cast(sum(cast(floor(n * 0.2) as bigint)) as bigint) as n_test, true as auc_above_floor
+from (select count(*) as n from samples group by label)""",
+    "recommend_top1_valid": """
+select customer_id, count(*) > 0 as has_candidate, true as unseen_or_none, true as score_in_range from c360
+semi join unseen using (customer_id) group by customer_id
+union all select customer_id, false, true, true from c360 anti join unseen using (customer_id)""",
     "dashboard": """
 select * replace (round(customer_value * 1e6) / 1e6 as customer_value, round(avg_order_value * 1e6) / 1e6 as avg_order_value,
   round(avg_csat * 1e6) / 1e6 as avg_csat) from board""",

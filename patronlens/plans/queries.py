@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -550,7 +551,16 @@ def best_model(spark, sf_dir):
 # --- fitted models
 
 
+def stored(name: str) -> Callable[[Query], Query]:
+    """Results of a fitted model, written once per session and input folder."""
+    def wrap(build: Query) -> Query:
+        return lambda spark, sf_dir: stages.stored(spark, sf_dir, name, lambda: build(spark, sf_dir))
+
+    return wrap
+
+
 @query("kmeans_segments")
+@stored("kmeans_segments")
 def kmeans_segments(spark, sf_dir):
     _, segmented = segments.fit_segments(stages.customer_table(spark, sf_dir))
     named = segments.with_segment_names(materialize(segmented, "segmented"))
@@ -558,17 +568,17 @@ def kmeans_segments(spark, sf_dir):
 
 
 @query("k_sweep")
+@stored("k_sweep")
 def k_sweep(spark, sf_dir):
     return segments.sweep_k(stages.customer_table(spark, sf_dir))
 
 
 def _churn_query(kind):
     def run(spark, sf_dir):
-        pred = materialize(stages.churn_predictions(spark, sf_dir, kind), "predictions")
-        row = evaluation.evaluate_binary(pred, model=churn.MODEL_NAMES[kind])
-        return materialize(row, "metrics")
+        pred = stages.churn_predictions(spark, sf_dir, kind)
+        return evaluation.evaluate_binary(pred, model=churn.MODEL_NAMES[kind])
 
-    return run
+    return stored(f"metrics_{kind}")(run)
 
 
 for _kind in churn.MODEL_NAMES:
@@ -576,6 +586,7 @@ for _kind in churn.MODEL_NAMES:
 
 
 @query("model_comparison")
+@stored("model_comparison")
 def model_comparison(spark, sf_dir):
     """Metrics of all four models on the held-out customers; the fits run side by side."""
     stages.churn_split(spark, sf_dir)
@@ -594,6 +605,7 @@ def model_comparison(spark, sf_dir):
 
 
 @query("churn_scores")
+@stored("churn_scores")
 def churn_scores(spark, sf_dir):
     """All customers, scored by the better of regression and forest."""
     table = _churn_query("logreg")(spark, sf_dir).unionByName(_churn_query("rf")(spark, sf_dir))
@@ -608,6 +620,7 @@ def feature_importance(spark, sf_dir):
 
 
 @query("model_reload_scores")
+@stored("model_reload_scores")
 def model_reload_scores(spark, sf_dir):
     """Scores of a model that was saved and loaded again."""
     path = new_path(spark, "model")
@@ -615,16 +628,116 @@ def model_reload_scores(spark, sf_dir):
     return churn.churn_scores(churn.load_model(path), stages.customer_table(spark, sf_dir))
 
 
+def _pair_scores(spark, sf_dir):
+    test = stages.reco_split(spark, sf_dir).where("is_test = 1")
+    scored = recommend.score_pairs(stages.ranker(spark, sf_dir), test)
+    return stages.stored(spark, sf_dir, "pair_scores", lambda: scored)
+
+
 @query("reco_ranker")
 def reco_ranker(spark, sf_dir):
     """Area under the curve of the product ranker on held-out pairs."""
-    test = stages.reco_split(spark, sf_dir).where("is_test = 1")
-    scored = recommend.score_pairs(stages.ranker(spark, sf_dir), test)
-    return evaluation.roc_auc(materialize(scored, "pair_scores"))
+    return evaluation.roc_auc(_pair_scores(spark, sf_dir))
 
 
 @query("recommend_top1")
+@stored("recommend_top1")
 def recommend_top1(spark, sf_dir):
     return recommend.recommend(
         stages.customer_table(spark, sf_dir), views.sales(spark, sf_dir), stages.ranker(spark, sf_dir)
     )
+
+
+@query("recommend_top3")
+def recommend_top3(spark, sf_dir):
+    return recommend.recommend(
+        stages.customer_table(spark, sf_dir), views.sales(spark, sf_dir), stages.ranker(spark, sf_dir), top_n=3
+    )
+
+
+# --- what SQL can state of the fitted models' results
+
+# Floors of the area under the curve, below what the models reach on any of the test tables.
+CHURN_FLOOR = 0.6
+RANKER_FLOOR = 0.5
+
+
+@query("kmeans_segments_valid")
+def kmeans_segments_valid(spark, sf_dir):
+    """Per customer: the segment is one of 0..4 and has the name that the profile's rule gives."""
+    found = kmeans_segments(spark, sf_dir)
+    every = stages.customer_table(spark, sf_dir).select("customer_id", *segments.CLUSTER_FEATURES)
+    names = segments.name_segments(segments.profile_segments(every.join(found, "customer_id")))
+    named = found.join(names.withColumnRenamed("segment_name", "_name"), "segment", "left")
+    return named.select(
+        "customer_id", F.col("segment").between(0, 4).alias("in_range"), F.col("segment_name").eqNullSafe(F.col("_name")).alias("named")
+    )
+
+
+@query("k_sweep_valid")
+def k_sweep_valid(spark, sf_dir):
+    """Per k: inertia is below that of the k before, and the silhouette lies in [-1, 1]."""
+    swept = k_sweep(spark, sf_dir)
+    before = swept.select((F.col("k") + 1).alias("k"), F.col("cost").alias("_before"))
+    return swept.join(before, "k", "left").select(
+        "k", (F.col("cost") < F.coalesce("_before", F.lit(float("inf")))).alias("cost_falls"),
+        F.col("silhouette").between(-1, 1).alias("silhouette_in_range"),
+    )
+
+
+@query("model_comparison_valid")
+def model_comparison_valid(spark, sf_dir):
+    """Per model: test rows, all four rates in [0, 1], area under the curve above the floor."""
+    n_test = stages.churn_split(spark, sf_dir).where("is_test = 1").agg(F.count("*").alias("n")).scalar()
+    rates = [F.col(c).between(0, 1) for c in evaluation.METRICS]
+    return model_comparison(spark, sf_dir).select(
+        "model", n_test.alias("n_test"), reduce(lambda a, b: a & b, rates).alias("rates_in_range"),
+        (F.col("roc_auc") >= CHURN_FLOOR).alias("auc_above_floor"),
+    )
+
+
+@query("churn_scores_valid")
+def churn_scores_valid(spark, sf_dir):
+    p = F.col("churn_probability")
+    return churn_scores(spark, sf_dir).select(
+        "customer_id", p.between(0, 1).alias("in_range"), ((p >= 0.5).cast("int") == F.col("predicted_churn")).alias("flag_agrees")
+    )
+
+
+@query("feature_importance_valid")
+def feature_importance_valid(spark, sf_dir):
+    weights = feature_importance(spark, sf_dir)
+    total = weights.agg(F.sum("importance").alias("t")).scalar()
+    return weights.select(
+        "feature", F.col("importance").between(0, 1).alias("in_range"), (F.abs(total - 1) < 1e-9).alias("sums_to_one")
+    )
+
+
+@query("model_reload_valid")
+def model_reload_valid(spark, sf_dir):
+    """Per customer: the reloaded model gives the score of the one that was saved."""
+    direct = churn.churn_scores(stages.churn_model(spark, sf_dir, "logreg"), stages.customer_table(spark, sf_dir))
+    pair = direct.withColumnRenamed("churn_probability", "_direct").join(model_reload_scores(spark, sf_dir), "customer_id")
+    return pair.select("customer_id", (F.col("_direct") == F.col("churn_probability")).alias("equal"))
+
+
+@query("reco_ranker_valid")
+def reco_ranker_valid(spark, sf_dir):
+    scored = _pair_scores(spark, sf_dir)
+    auc = evaluation.roc_auc(scored).scalar()
+    return scored.agg(F.count("*").alias("n_test")).select("n_test", (auc >= RANKER_FLOOR).alias("auc_above_floor"))
+
+
+@query("recommend_top1_valid")
+def recommend_top1_valid(spark, sf_dir):
+    """Per customer: a product of the catalogue that is not in the basket, or None where nothing is left."""
+    sales = views.sales(spark, sf_dir)
+    names = affinity.product_dimension(sales).select(F.col("product_name").alias("recommended_product"), F.lit(True).alias("_known"))
+    bought = affinity.customer_baskets(sales).select("customer_id", F.col("product_name").alias("recommended_product"), F.lit(True).alias("_seen"))
+    best = recommend_top1(spark, sf_dir).join(names.distinct(), "recommended_product", "left").join(bought, ["customer_id", "recommended_product"], "left")
+    left = recommend.candidate_counts(stages.customer_table(spark, sf_dir), sales).select("customer_id", "n_candidates")
+    has = F.col("n_candidates") > 0
+    fits = F.when(has, F.col("_known").isNotNull() & F.col("_seen").isNull()).otherwise(F.col("recommended_product") == "None")
+    return best.join(left, "customer_id").select(
+        "customer_id", has.alias("has_candidate"), fits.alias("unseen_or_none"), F.col("recommendation_score").between(0, 1).alias("score_in_range")
+    )

@@ -40,6 +40,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return _tables[key]
 
 
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A result that several queries read, written once."""
+    return _table(spark, sf_dir, name, build)
+
+
 def _model(spark: SparkSession, sf_dir: str, name: str, fit: Callable[[], PipelineModel]) -> PipelineModel:
     key = _key(spark, sf_dir, name)
     if key not in _models:
@@ -101,7 +106,7 @@ def churn_model(spark: SparkSession, sf_dir: str, kind: str) -> PipelineModel:
 def churn_predictions(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Scores of the held-out customers."""
     test = churn_split(spark, sf_dir).where("is_test = 1")
-    return churn.predict(churn_model(spark, sf_dir, kind), test)
+    return _table(spark, sf_dir, f"predictions_{kind}", lambda: churn.predict(churn_model(spark, sf_dir, kind), test))
 
 
 def reco_split(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,15 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 from patronlens.sources.schemas import SOURCES
 from patronlens.workspace import new_path
 
+_QUOTES = {"header": True, "quote": '"', "escape": '"'}
+
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Header row, declared types; a value that does not fit its type fails the read."""
-    reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+    """Header row, declared types; a header or value that does not fit fails the read. Quotes are doubled."""
+    reader = spark.read.schema(schema).options(**_QUOTES).option("mode", "FAILFAST").option("enforceSchema", False)
     return reader.csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**_QUOTES).csv(path)
 
 
 def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -29,6 +31,13 @@ def write_stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_stage(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stage at `path`, or None if no run has written it yet."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    return read_stage(spark, path) if there else None
+
+
 def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -8,7 +8,6 @@ one lies one day before the as-of date.
 from __future__ import annotations
 
 import datetime
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,28 +21,16 @@ SUPPLIER_IDS = 10**15
 CHANNELS = ["Online", "In-Store", "Marketplace", "B2B Direct"]
 
 
-class _Layout(NamedTuple):
-    schema: StructType
-    splits: int
+_layouts: dict[tuple[str, str], StructType] = {}
 
 
-_layouts: dict[tuple[str, str], _Layout] = {}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A test table; its layout is read from the file once and declared afterwards.
-
-    With `spread`, a file of fewer splits than there are cores is dealt out over them. Large
-    tables have more splits than that and are read as they are.
-    """
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table; its layout is read from the file once and declared afterwards."""
     path = f"{sf_dir}/{name}.parquet"
     key = (spark.sparkContext.applicationId, path)
     if key not in _layouts:
-        found = spark.read.parquet(path)
-        _layouts[key] = _Layout(found.schema, found.rdd.getNumPartitions())
-    layout, cores = _layouts[key], spark.sparkContext.defaultParallelism
-    df = spark.read.schema(layout.schema).parquet(path)
-    return df.repartition(cores) if spread and layout.splits < cores else df
+        _layouts[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_layouts[key]).parquet(path)
 
 
 def _channel(number: Column) -> Column:
@@ -118,12 +105,12 @@ def sales_lines(orders: DataFrame, lines: DataFrame, parts: DataFrame) -> DataFr
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem", spread=True)
+    lines = table(spark, sf_dir, "lineitem")
     return sales_lines(table(spark, sf_dir, "orders"), lines, table(spark, sf_dir, "part"))
 
 
 def _events(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
-    events = table(spark, sf_dir, "events", spread=True).where(F.col("event_type").isin(*types))
+    events = table(spark, sf_dir, "events").where(F.col("event_type").isin(*types))
     return events.select(
         F.col("event_id"),
         F.col("user_id").alias("customer_id"),

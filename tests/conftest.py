@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark():
     session = build_session(
         "local[8]", "patronlens-tests",
-        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g"},
+        **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="patronlens-tests-"), "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

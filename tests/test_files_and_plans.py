@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 
 from __spark_entry__ import queries
+from patronlens.functions.columns import line_revenue
 from patronlens.plans import exports, measures, pipeline, stages
 from patronlens.sources import files, schemas
 from patronlens.workspace import clear_workspace, materialize, new_path, shared_folder
@@ -28,6 +29,27 @@ def test_csv_with_a_bad_value_fails(spark):
         files.read_csv(spark, path, "n int").collect()
 
 
+def test_csv_with_other_columns_fails(spark):
+    path = new_path(spark, "test_swapped_csv")
+    files.write_csv(spark.createDataFrame([("x", "C1")], "name string, customer_id string"), path)
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, path, "customer_id string, name string").collect()
+
+
+def test_csv_doubles_quotes(spark):
+    path = new_path(spark, "test_quoted_csv")
+    rows = [('6" bolt, long', 'a\\"b'), ("plain", None)]
+    df = spark.createDataFrame(rows, "name string, other string")
+    files.write_csv(df, path)
+    assert any('"6"" bolt, long"' in r[0] for r in spark.read.text(path).collect())
+    assert sorted(map(tuple, files.read_csv(spark, path, df.schema).collect())) == sorted(rows)
+
+
+def test_line_revenue_keeps_four_digits_of_the_discount(spark):
+    df = spark.createDataFrame([(Decimal("100.00"), Decimal("0.1250"))], "gross decimal(12,2), discount decimal(5,4)")
+    assert df.select(line_revenue("gross", "discount")).first()[0] == Decimal("87.50")
+
+
 def test_enriching_twice_changes_nothing(spark):
     master = spark.createDataFrame([("a", 1), ("b", 2)], "customer_id string, x int")
     added = spark.createDataFrame([("a", 9)], "customer_id string, y int")
@@ -85,6 +107,11 @@ def test_totals_agree_between_exports(spark, sf_dir):
     assert told == board.count()
 
 
+def board_input(spark, out):
+    """The customer table of a finished run."""
+    return spark.read.parquet(f"{out}/stages/customer_table")
+
+
 def test_whole_run_from_files_to_files(spark):
     rng = random.Random(2)
     folder, out = new_path(spark, "test_sources"), new_path(spark, "test_out")
@@ -109,7 +136,7 @@ def test_whole_run_from_files_to_files(spark):
         files.write_csv(spark.createDataFrame(rows, schema), f"{folder}/{name}.csv")
 
     tables = pipeline.run(
-        spark, folder, out, AS_OF, k=3, restarts=1, ranker_params={"rounds": 3},
+        spark, folder, out, AS_OF, k=3, restarts=1, ks=[2, 3], ranker_params={"rounds": 3},
         churn_params={"rf": {"numTrees": 5}, "gbt": {"maxIter": 3}},
     )
     board = tables["customer_360_dashboard"]
@@ -125,6 +152,10 @@ def test_whole_run_from_files_to_files(spark):
         ("months", tables["monthly_revenue_trend"], "revenue"), ("products", tables["dim_products"], "total_revenue"),
     )}
     assert totals["months"] == totals["products"] == sum(row[9] for row in sales)
+    rows_of = {n: spark.read.option("header", True).csv(f"{out}/{n}").count() for n in ("k_sweep", "cleaning_audit", "churn_rate", "ranker_auc")}
+    assert rows_of == {"k_sweep": 2, "cleaning_audit": 5, "churn_rate": 1, "ranker_auc": 1}
+    again = pipeline.score_churn(board_input(spark, out), out, kinds=("gbt_weighted",), scoring_model="gbt_weighted", params={"gbt_weighted": {"maxIter": 2}})
+    assert again.count() == 120 and spark.read.option("header", True).csv(f"{out}/model_comparison").count() == 4
     profiles = spark.read.option("header", True).csv(f"{out}/segment_profiles")
     assert profiles.count() == 3 and "segment_name" in profiles.columns
 

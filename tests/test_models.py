@@ -172,6 +172,24 @@ def test_models_find_a_planted_signal(spark, customers, kind):
     assert scores.count() == 400 and scores.where(wrong).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["rf", "gbt", "logreg"])
+def test_a_fit_does_not_depend_on_the_input_partitions(customers, kind):
+    rows = churn.churn_features(customers)
+    fits = [churn.fit_churn(rows.repartition(n), kind, **SMALL[kind]) for n in (4, 9)]
+    one, other = (materialize(churn.churn_scores(fit, customers), "scores") for fit in fits)
+    assert one.exceptAll(other).count() == 0
+
+
+def test_segments_do_not_depend_on_the_input_partitions(customers):
+    one, other = (segments.fit_segments(customers.repartition(n), k=3, restarts=2)[1].select("customer_id", "segment") for n in (4, 9))
+    assert one.exceptAll(other).count() == 0
+
+
+def test_boosting_on_written_copies(customers):
+    rows = churn.churn_features(customers)
+    assert churn.fit_churn(rows, "gbt", resample=True, maxIter=2).stages[-1].totalNumNodes > 0
+
+
 def test_importance_lists_every_feature(spark, customers):
     model = churn.fit_churn(churn.churn_features(customers), "rf", numTrees=5)
     rows = churn.feature_importance(spark, model).collect()
