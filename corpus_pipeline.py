@@ -30,18 +30,18 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by its kind, and n_chars follows. Documents without a secret stay as they are."""
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    marked = docs.withColumn("_row", row)
-    found = secrets.scan_secrets(marked, ["_row"]).where(F.size("spans") > 0)
-    found = found.groupBy("_row", "blob_id").agg(F.first("spans").alias("_spans")).select("_row", F.col("blob_id").alias("_blob"), "_spans")
-    same = (marked["_row"] == found["_row"]) & (secrets.blob_id(marked["text"]) == found["_blob"])
-    joined = marked.join(found, same, "left").drop(found["_row"])
-    clean = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(secrets.redacted(F.col("text"), F.col("_spans")))
-    changed = joined.withColumn("text", clean)
+    # The document goes along as one struct, so that its columns cannot clash with others.
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text"))
+    marked = marked.withColumn("row", F.xxhash64("doc"))
+    found = secrets.scan_secrets(marked, ["row"]).where(F.size("spans") > 0)
+    # Equal rows have one path: their findings are the same.
+    found = found.groupBy("row", "blob_id").agg(F.first("spans").alias("spans"))
+    joined = marked.withColumn("blob_id", secrets.blob_id(F.col("text"))).join(found, ["row", "blob_id"], "left")
+    clean = secrets.redacted(F.col("text"), F.col("spans"))
+    doc = F.col("doc").withField("text", clean)
     if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        changed = changed.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(length))
-    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
+        doc = doc.withField("n_chars", F.length(clean).cast(docs.schema["n_chars"].dataType))
+    return joined.select(F.when(F.col("spans").isNull(), F.col("doc")).otherwise(doc).alias("doc")).select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

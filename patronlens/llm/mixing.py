@@ -132,7 +132,8 @@ def take(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     counts = mix(docs, key, source, text, **options).where("passes_taken > 0 and size > 0").select(
         F.col(key).alias("_key"), F.col(source).alias("_source"), F.col("size").alias("_size"), "passes_taken"
     ).distinct()
-    sized = docs.withColumn("_words", word_count(F.col(text)))
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(source).eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size"))
+    # The document goes along as one struct, so that its columns cannot clash with others.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), word_count(F.col(text)).alias("_words"))
+    same = F.col(f"doc.{key}").eqNullSafe(F.col("_key")) & F.col(f"doc.{source}").eqNullSafe(F.col("_source")) & (F.col("_words") == F.col("_size"))
     copies = F.explode(F.sequence(F.lit(1), F.col("passes_taken"))).alias("_copy")
-    return sized.join(counts, same).select(*[F.col(f"`{c}`") for c in docs.columns], copies).drop("_copy")
+    return rows.join(counts, same).select("doc", copies).select("doc.*")

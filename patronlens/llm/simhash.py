@@ -142,17 +142,15 @@ def keep_representatives(docs: DataFrame, key: str = "doc_id", text: str = "text
 
     Among rows of that id the one with the smallest row hash stays, of equal rows one.
     """
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    slim = simhash_classes(docs, key, text, keep={"_row": row}).select("_row", "root", _named(F.col(key)).alias("_id"), F.col(key).alias("_key"))
-    first = F.min(F.struct(F.col("_key").isNull().alias("last"), F.col("_key").alias("key"), F.col("_row").alias("row"), F.col("_id").alias("id")))
-    chosen = slim.groupBy("root").agg(first.alias("_first")).select(F.col("_first.row").alias("_row"), F.col("_first.id").alias("_id"))
-    rows = docs.withColumns({"_row": row, "_id": _named(F.col(key))})
+    # The document goes along as one struct, so that its columns cannot clash with others.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = rows.withColumns({"row": F.xxhash64("doc"), "id": F.coalesce(F.col("key").cast("string"), F.lit("none"))})
+    slim = simhash_classes(rows, "key", "text", keep={"row": F.col("row"), "id": F.col("id")})
+    first = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "row", "id")).alias("first")
+    chosen = slim.groupBy("root").agg(first).select("first.row", "first.id")
     # Equal rows meet in the join already, so dropping all but one needs no further exchange.
-    return rows.join(chosen, ["_row", "_id"], "left_semi").dropDuplicates(["_row", "_id"]).drop("_row", "_id")
-
-
-def _named(key: Column) -> Column:
-    return F.coalesce(key.cast("string"), F.lit("none"))
+    kept = rows.select("row", "id", "doc").join(chosen, ["row", "id"], "left_semi").dropDuplicates(["row", "id"])
+    return kept.select("doc.*")
 
 
 def hexadecimal(fp: Column) -> Column:
