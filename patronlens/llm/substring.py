@@ -38,7 +38,7 @@ BLOCKS = 256
 ROWS = 2
 
 _SALTS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-_BATCH_BYTES = 8 << 20
+BATCH_BYTES = 8 << 20
 _NULL_ID = -(1 << 63)
 
 
@@ -108,12 +108,12 @@ class Batch:
             chosen[shift:shift + len(self.least)] |= in_window & (part == self.least)
         return self.groups[chosen]
 
-    def repeated(self, bits: list[np.ndarray]) -> np.ndarray:
+    def repeated(self, bits: list[np.ndarray], size: int) -> np.ndarray:
         """Starts of windows whose anchors are all estimated at two or more."""
         if not self.windows.any():
             return np.array([], np.int64)
         often = np.ones(len(self.least), bool)
-        for row, cells in enumerate(cells_of(self.least)):
+        for row, cells in enumerate(cells_of(self.least, size)):
             often &= (bits[row][cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 > 0
         keep = self.windows.copy()
         for shift in range(self.inner_runs):
@@ -121,38 +121,38 @@ class Batch:
         return np.flatnonzero(keep)
 
 
-def cells_of(hashes: np.ndarray) -> list[np.ndarray]:
-    """The cell of every hash in each row of the sketch."""
-    return [(_mix(hashes ^ np.uint64(salt)) & np.uint64(CELLS - 1)).astype(np.int64) for salt in _SALTS]
+def cells_of(hashes: np.ndarray, size: int) -> list[np.ndarray]:
+    """The cell of every hash in each row of a sketch of `size` (a power of two) cells a row."""
+    return [(_mix(hashes ^ np.uint64(salt)) & np.uint64(size - 1)).astype(np.int64) for salt in _SALTS]
 
 
-def _batches(tables: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, list]]:
+def _batches(tables: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.RecordBatch, int, list]]:
     """Slices of the record batches of a few MB of text, at least one text each."""
     for table in tables:
         texts = table.column("text").to_pylist()
         start, held = 0, 0
         for at, text in enumerate(texts):
             held += len(text or "")
-            if held >= _BATCH_BYTES or at == len(texts) - 1:
+            if held >= most or at == len(texts) - 1:
                 yield table.slice(start, at + 1 - start), start, texts[start:at + 1]
                 start, held = at + 1, 0
 
 
-def sketch(docs: DataFrame) -> DataFrame:
+def sketch(docs: DataFrame, cells: int = CELLS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Merged sketch of the column `text`: per row and block, the bits of cells counted twice or more."""
-    per_block = CELLS // BLOCKS
+    per_block = cells // BLOCKS
     schema = pa.schema([("row", pa.int32()), ("block", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
 
     def count(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: np.ndarray | None = None
-        for _, _, texts in _batches(tables):
+        for _, _, texts in _batches(tables, batch_bytes):
             anchors = Batch(texts).anchors()
             if not len(anchors):
                 continue
             if seen is None:
-                seen = np.zeros((ROWS, CELLS), np.uint8)
-            for row, cells in enumerate(cells_of(anchors)):
-                found, times = np.unique(cells, return_counts=True)
+                seen = np.zeros((ROWS, cells), np.uint8)
+            for row, at in enumerate(cells_of(anchors, cells)):
+                found, times = np.unique(at, return_counts=True)
                 seen[row][found] = np.minimum(2, seen[row][found] + np.minimum(times, 2))
         if seen is None:
             return
@@ -190,10 +190,10 @@ def sketch(docs: DataFrame) -> DataFrame:
     return parts.mapInArrow(merge, "row int, block int, bits binary")
 
 
-def _bits(merged: DataFrame) -> list[bytes]:
-    """The merged sketch on the driver: `ROWS` x `CELLS` bits (16 MB), whatever the size of the corpus."""
-    bits = [bytearray(CELLS // 8) for _ in range(ROWS)]
-    size = CELLS // 8 // BLOCKS
+def _bits(merged: DataFrame, cells: int) -> list[bytes]:
+    """The merged sketch on the driver: `ROWS` x `cells` bits (16 MB by default), whatever the size of the corpus."""
+    bits = [bytearray(cells // 8) for _ in range(ROWS)]
+    size = cells // 8 // BLOCKS
     for r in merged.toLocalIterator():
         bits[r["row"]][r["block"] * size:(r["block"] + 1) * size] = zlib.decompress(r["bits"])
     return [bytes(b) for b in bits]
@@ -202,7 +202,7 @@ def _bits(merged: DataFrame) -> list[bytes]:
 FOUND = "h1 long, h2 long, id long, place long, later array<struct<id:long,place:long>>"
 
 
-def repeated_windows(keyed: DataFrame, bits) -> DataFrame:
+def repeated_windows(keyed: DataFrame, bits, cells: int = CELLS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Windows that may be repeated, one row per batch and content: its first place and the later ones.
 
     `keyed` has id, version (tells rows of one id apart) and text; a place is version and start in one number.
@@ -212,9 +212,9 @@ def repeated_windows(keyed: DataFrame, bits) -> DataFrame:
 
     def find(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.frombuffer(b, np.uint8) for b in bits.value]
-        for table, _, texts in _batches(tables):
+        for table, _, texts in _batches(tables, batch_bytes):
             batch = Batch(texts)
-            at = batch.repeated(held)
+            at = batch.repeated(held, cells)
             if not len(at):
                 continue
             h1 = _rolling(batch.words, WINDOW, 0xC2B2AE3D27D4EB4F)[at]
@@ -287,7 +287,9 @@ def kept_column(text: Column, starts: Column, digest: bool = False) -> Column:
     return of(text, starts)
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", digest: bool = False, cells: int = CELLS, batch_bytes: int = BATCH_BYTES
+) -> DataFrame:
     """One row per document: key, n_words, n_removed and kept, the text without the words of earlier windows."""
     spark = docs.sparkSession
     keyed = docs.select(
@@ -296,8 +298,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", dig
         F.col(text).alias("text"),
         F.col(key).alias("_key"),
     )
-    bits = spark.sparkContext.broadcast(_bits(sketch(keyed)))
-    found = repeated_windows(keyed.select("id", "version", "text"), bits)
+    bits = spark.sparkContext.broadcast(_bits(sketch(keyed, cells, batch_bytes), cells))
+    found = repeated_windows(keyed.select("id", "version", "text"), bits, cells, batch_bytes)
     places = later_places(found).select(
         "id", F.shiftright("place", 32).cast("int").alias("version"),
         F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at"),

@@ -5,7 +5,6 @@ import numpy as np
 import pytest
 
 from helpers import clashing, doc, frame, odd_documents, words
-from patronlens.llm import substring
 from patronlens.llm.queries import op6_substrings
 from patronlens.llm.substring import WINDOW, Batch, remove_repeats
 
@@ -43,13 +42,12 @@ def rows_with_passages(seed=1, n=60):
 PERIODIC = [doc(200, "a " * 45), doc(201, "a b c " * 20), doc(202, "a b c " * 9 + "d"), doc(203, "x " * 20), doc(204, "x " * 19)]
 
 
-@pytest.mark.parametrize("cells", [1 << 20, 1 << 3])
-def test_removal_agrees_with_brute_force(spark, many_partitions, monkeypatch, cells):
-    monkeypatch.setattr(substring, "CELLS", cells * 256)
-    monkeypatch.setattr(substring, "_BATCH_BYTES", 600)
+@pytest.mark.parametrize("cells", [1 << 20, 1 << 11])
+def test_removal_agrees_with_brute_force(spark, many_partitions, cells):
     rows = rows_with_passages() + PERIODIC
     df = frame(spark, rows).repartition(5)
-    assert sorted((tuple(r) for r in remove_repeats(df).collect()), key=str) == by_hand(rows)
+    got = remove_repeats(df, cells=cells, batch_bytes=600)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == by_hand(rows)
 
 
 def test_odd_rows(spark):
