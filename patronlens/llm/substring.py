@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from patronlens.workspace import materialize
+
 WINDOW = 20
 GROUP = 10  # words in an anchor's group
 RUN = 3  # groups of which an anchor is the smallest
@@ -187,7 +189,8 @@ def sketch(docs: DataFrame, cells: int = CELLS, batch_bytes: int = BATCH_BYTES)
 
     parts = docs.select("text").mapInArrow(count, "row int, block int, once binary, twice binary")
     parts = parts.repartition("row", "block").sortWithinPartitions("row", "block")
-    return parts.mapInArrow(merge, "row int, block int, bits binary")
+    # Written, so that the exchanged parts need not be kept.
+    return materialize(parts.mapInArrow(merge, "row int, block int, bits binary"), "sketch")
 
 
 def _bits(merged: DataFrame, cells: int) -> list[bytes]:
