@@ -26,6 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -263,8 +264,8 @@ def later_places(found: DataFrame) -> DataFrame:
 KEPT = "n_words long, n_removed long, kept string"
 
 
-def _remove(text: str | None, starts) -> tuple[int, int, bytes]:
-    words = (text or "").encode("utf-8", "surrogatepass").split()
+def _remove(text: bytes, starts) -> tuple[int, int, bytes]:
+    words = text.split()
     if starts is None or not len(starts):
         return len(words), 0, b" ".join(words)
     edge = np.zeros(len(words) + 1, np.int64)
@@ -276,18 +277,30 @@ def _remove(text: str | None, starts) -> tuple[int, int, bytes]:
     return len(words), int(gone.sum()), b" ".join(kept)
 
 
-def kept_column(text: Column, starts: Column, digest: bool = False) -> Column:
-    """Words, words removed, and the kept words joined by a space (or their SHA-256)."""
+def packed_column(text: Column) -> Column:
+    """The text compressed for an exchange; null stays null."""
+    @F.pandas_udf("binary")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for texts in batches:
+            yield pd.Series([None if t is None else packer.compress(t.encode("utf-8", "surrogatepass")) for t in texts], dtype=object)
+
+    return of(text)
+
+
+def kept_column(packed: Column, starts: Column, digest: bool = False) -> Column:
+    """Of a packed text: its words, words removed, and the kept words joined by a space (or their SHA-256)."""
     @F.pandas_udf(KEPT)
     def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        unpacker = zstandard.ZstdDecompressor()
         for texts, places in batches:
             rows = []
-            for text, at in zip(texts, places):
-                n, removed, kept = _remove(text, at)
+            for data, at in zip(texts, places):
+                n, removed, kept = _remove(b"" if data is None else unpacker.decompress(data), at)
                 rows.append((n, removed, hashlib.sha256(kept).hexdigest() if digest else kept.decode("utf-8", "surrogatepass")))
             yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
 
-    return of(text, starts)
+    return of(packed, starts)
 
 
 def remove_repeats(
@@ -308,5 +321,6 @@ def remove_repeats(
         F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at"),
     )
     removed = places.groupBy("id", "version").agg(F.collect_list("at").alias("starts"))
-    joined = keyed.join(removed, ["id", "version"], "left")
+    packed = keyed.select("id", "version", "_key", packed_column(F.col("text")).alias("text"))
+    joined = packed.join(removed, ["id", "version"], "left")
     return joined.select(F.col("_key").alias(key), kept_column(F.col("text"), F.col("starts"), digest).alias("_r")).select(key, "_r.*")
