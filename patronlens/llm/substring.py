@@ -4,7 +4,7 @@ A window is `WINDOW` consecutive words of one text. Each partition counts window
 count-min sketch of fixed size; the sketches are merged block by block. An anchor is the smallest
 hash of a run of neighbouring word groups inside the window, so equal windows have equal anchors at
 equal places, and the smallest estimate over a window's anchors is never below the number of times
-the window occurs. Only windows estimated at two or more are grouped, by a 128-bit hash of their
+the window occurs. Only windows estimated at two or more are grouped, by a 96-bit hash of their
 words, so none is lost; where the sketch is too small for the corpus it only lets more through.
 
 Order is by id (null first), then start. Equal windows of one batch are brought down to their first before the
@@ -203,7 +203,7 @@ def _bits(merged: DataFrame, cells: int) -> list[bytes]:
     return [bytes(b) for b in bits]
 
 
-FOUND = "h1 long, h2 long, id long, place long, later array<struct<id:long,place:long>>"
+FOUND = "h1 long, h2 int, id long, place long, later array<struct<id:long,place:long>>"
 
 
 def repeated_windows(keyed: DataFrame, bits, cells: int = CELLS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
@@ -212,7 +212,7 @@ def repeated_windows(keyed: DataFrame, bits, cells: int = CELLS, batch_bytes: in
     `keyed` has id, version (tells rows of one id apart) and text; a place is version and start in one number.
     """
     pair = pa.struct([("id", pa.int64()), ("place", pa.int64())])
-    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("id", pa.int64()), ("place", pa.int64()), ("later", pa.list_(pair))])
+    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("id", pa.int64()), ("place", pa.int64()), ("later", pa.list_(pair))])
 
     def find(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.frombuffer(b, np.uint8) for b in bits.value]
@@ -222,7 +222,7 @@ def repeated_windows(keyed: DataFrame, bits, cells: int = CELLS, batch_bytes: in
             if not len(at):
                 continue
             h1 = _rolling(batch.words, WINDOW, 0xC2B2AE3D27D4EB4F)[at]
-            h2 = _rolling(_mix(batch.words), WINDOW, 0x165667B19E3779F9)[at]
+            h2 = (_rolling(_mix(batch.words), WINDOW, 0x165667B19E3779F9)[at] >> np.uint64(32)).astype(np.uint32)
             text = batch.text_of[at]
             ids = table.column("id").to_numpy(zero_copy_only=False)[text]
             start = at - batch.starts[text]
@@ -237,7 +237,7 @@ def repeated_windows(keyed: DataFrame, bits, cells: int = CELLS, batch_bytes: in
             offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(h1[heads].view(np.int64)), pa.array(h2[heads].view(np.int64)), pa.array(ids[heads]),
+                    pa.array(h1[heads].view(np.int64)), pa.array(h2[heads].view(np.int32)), pa.array(ids[heads]),
                     pa.array(place[heads]), pa.ListArray.from_arrays(offsets, rest),
                 ],
                 schema=schema,
