@@ -33,7 +33,7 @@ def test_best_fit_decreasing_opens_few_bins():
         loads[b] += s
     assert sorted(loads.values()) == [10, 10, 10]
     assert best_fit_decreasing([], [5]) == []
-    assert best_fit_decreasing([9, 2], [5, 5]) == [0, 1]
+    assert best_fit_decreasing([9, 2], [5, 5]) == [1, 0]
 
 
 def check_shards(rows, got, shards, group_whole=True):
