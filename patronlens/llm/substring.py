@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -79,13 +80,12 @@ class Batch:
     """Words of several texts in a row, with their hashes and the windows that lie inside one text."""
 
     def __init__(self, texts: list[str | None]):
-        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        self.sizes = np.array([len(w) for w in split], np.int64)
+        hashed = [self._hashes(t) for t in texts]
+        self.sizes = np.array([len(h) for h in hashed], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        digest = xxhash.xxh64_intdigest
-        self.words = np.fromiter((digest(w) for words in split for w in words), np.uint64, int(self.sizes.sum()))
+        self.words = np.concatenate(hashed) if hashed else np.array([], np.uint64)
         n = len(self.words)
-        self.text_of = np.repeat(np.arange(len(split)), self.sizes)
+        self.text_of = np.repeat(np.arange(len(hashed)), self.sizes)
         left = np.repeat(self.starts + self.sizes, self.sizes) - np.arange(n)  # words to the text's end
         self.windows = (left >= WINDOW)[: max(0, n - WINDOW + 1)]
         groups = _rolling(self.words, GROUP, 0x9E3779B97F4A7C15) if n >= WINDOW else np.array([], np.uint64)
@@ -97,6 +97,11 @@ class Batch:
         self.least = least
         self.inner_runs = WINDOW - GROUP - RUN + 2
 
+    @staticmethod
+    def _hashes(text: str | None) -> np.ndarray:
+        words = (text or "").encode("utf-8", "surrogatepass").split()
+        return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
     def anchors(self) -> np.ndarray:
         """Hashes at the places that are the smallest of a run inside some window, once per place."""
         if not len(self.least):
@@ -129,15 +134,16 @@ def cells_of(hashes: np.ndarray, size: int) -> list[np.ndarray]:
     return [(_mix(hashes ^ np.uint64(salt)) & np.uint64(size - 1)).astype(np.int64) for salt in _SALTS]
 
 
-def _batches(tables: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.RecordBatch, int, list]]:
+def _batches(tables: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Slices of the record batches of a few MB of text, at least one text each."""
     for table in tables:
-        texts = table.column("text").to_pylist()
+        lengths = pc.fill_null(pc.binary_length(table.column("text")), 0).to_pylist()
         start, held = 0, 0
-        for at, text in enumerate(texts):
-            held += len(text or "")
-            if held >= most or at == len(texts) - 1:
-                yield table.slice(start, at + 1 - start), start, texts[start:at + 1]
+        for at, length in enumerate(lengths):
+            held += length
+            if held >= most or at == len(lengths) - 1:
+                part = table.slice(start, at + 1 - start)
+                yield part, part.column("text").to_pylist()
                 start, held = at + 1, 0
 
 
@@ -148,7 +154,7 @@ def sketch(docs: DataFrame, cells: int = CELLS, batch_bytes: int = BATCH_BYTES)
 
     def count(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: np.ndarray | None = None
-        for _, _, texts in _batches(tables, batch_bytes):
+        for _, texts in _batches(tables, batch_bytes):
             anchors = Batch(texts).anchors()
             if not len(anchors):
                 continue
@@ -216,7 +222,7 @@ def repeated_windows(keyed: DataFrame, bits, cells: int = CELLS, batch_bytes: in
 
     def find(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.frombuffer(b, np.uint8) for b in bits.value]
-        for table, _, texts in _batches(tables, batch_bytes):
+        for table, texts in _batches(tables, batch_bytes):
             batch = Batch(texts)
             at = batch.repeated(held, cells)
             if not len(at):
