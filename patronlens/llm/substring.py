@@ -147,28 +147,41 @@ def _batches(tables: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.R
                 start, held = at + 1, 0
 
 
+def _bytes_of(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a bit array that hold the given distinct cells, in order, and their bits."""
+    if not len(cells):
+        return cells, np.array([], np.uint8)
+    places = cells >> 3
+    heads = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
+    return places[heads], np.bitwise_or.reduceat(np.uint8(1) << (cells & 7).astype(np.uint8), heads)
+
+
 def sketch(docs: DataFrame, cells: int = CELLS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Merged sketch of the column `text`: per row and block, the bits of cells counted twice or more."""
-    per_block = cells // BLOCKS
+    per_block = cells // 8 // BLOCKS
     schema = pa.schema([("row", pa.int32()), ("block", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
 
     def count(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: np.ndarray | None = None
+        once = twice = None
         for _, texts in _batches(tables, batch_bytes):
             anchors = Batch(texts).anchors()
             if not len(anchors):
                 continue
-            if seen is None:
-                seen = np.zeros((ROWS, cells), np.uint8)
+            if once is None:
+                once, twice = (np.zeros((ROWS, cells // 8), np.uint8) for _ in range(2))
             for row, at in enumerate(cells_of(anchors, cells)):
                 found, times = np.unique(at, return_counts=True)
-                seen[row][found] = np.minimum(2, seen[row][found] + np.minimum(times, 2))
-        if seen is None:
+                places, bits = _bytes_of(found)
+                more, again = _bytes_of(found[times > 1])
+                twice[row][places] |= once[row][places] & bits
+                twice[row][more] |= again
+                once[row][places] |= bits
+        if once is None:
             return
         for row in range(ROWS):
             for block in range(BLOCKS):
-                part = seen[row, block * per_block:(block + 1) * per_block]
-                packed = [zlib.compress(np.packbits(part >= least, bitorder="little").tobytes(), 1) for least in (1, 2)]
+                part = slice(block * per_block, (block + 1) * per_block)
+                packed = [zlib.compress(seen[row, part].tobytes(), 1) for seen in (once, twice)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row], pa.int32()), pa.array([block], pa.int32()), *(pa.array([p], pa.binary()) for p in packed)], schema=schema
                 )
