@@ -341,14 +341,14 @@ def encoded_column(text: Column, path: str, with_ids: bool = False) -> Column:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = word_model(path)
         for batch in batches:
-            rows = []
             for start in range(0, len(batch), _TEXTS):
+                rows = []
                 texts = [t if isinstance(t, str) else "" for t in batch.iloc[start:start + _TEXTS]]
                 for ids in encode_texts(model, texts):
                     decoded = model.decode(ids).encode("utf-8")
                     row = (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoded).hexdigest())
                     rows.append((*row, ids.astype(np.int32)) if with_ids else row)
-            yield pd.DataFrame(rows, columns=names)
+                yield pd.DataFrame(rows, columns=names)
 
     return of(text)
 
