@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 # A word's chunks are kept up to this number, then forgotten; results do not depend on it.
-REMEMBERED = 800_000
+REMEMBERED = 250_000
 ENCODED = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 _END = "\u0100"  # stands for the word end; byte values take the code points below
