@@ -1,5 +1,7 @@
 import hashlib
+import textwrap
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import clashing, doc, frame, odd_documents
@@ -93,3 +95,35 @@ def test_known_digests_are_distinct(spark):
     rows = licenses.known_digests(spark).collect()
     assert len({r["digest"] for r in rows}) == len(rows) == len(licenses.KNOWN)
     assert frame(spark, []).select(F.size(licenses.canonical_lines(F.col("text")))).collect() == []
+
+
+def rewrapped(text, width):
+    """The paragraphs of a text at another width, or in one line each."""
+    parts = [" ".join(p.split()) for p in text.split("\n\n")]
+    return "\n\n".join("\n".join(textwrap.wrap(p, width)) if width else p for p in parts)
+
+
+@pytest.mark.parametrize("title", [False, True])
+def test_a_license_is_found_at_every_width(spark, title):
+    rows, names = [], []
+    for name, text in licenses.KNOWN:
+        if name not in dict(licenses.TITLES):
+            continue
+        head = f"{dict(licenses.TITLES)[name][0]}\n\n" if title else ""
+        for width in [None, *range(20, 130, 6)]:
+            rows.append(doc(len(rows), f"{head}Copyright (c) 2020 Someone\n\n" + rewrapped(text, width)))
+            names.append(name)
+    got = {r["doc_id"]: r["license"] for r in licenses.scan_licenses(frame(spark, rows)).collect()}
+    assert [got[i] for i in range(len(rows))] == names
+
+
+def test_only_copyright_lines_are_left_out_of_a_license(spark):
+    heads = [
+        "Copyright (c) 2020 Someone", "Copyright 2019-2021 Some One and others", "\u00a9 Someone", "Copyright \u00a9 Someone", "(c) 2020 Someone",
+        "Copyright Someone 2020", "All rights reserved.", "# Copyright <YEAR> <COPYRIGHT HOLDER>", "Copyright (C) Someone",
+    ]
+    others = ["Copyright holders may not use this.", "All rights reserved by Someone, who grants none", "C is a language", "ISC License"]
+    clause = MIT.replace("COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM", "COPYRIGHT HOLDERS BE GLAD FOR ANY CLAIM")
+    texts = [f"{h}\n{MIT}" for h in [*heads, *others]] + [clause, MIT.replace("The above copyright", "The above\ncopyright")]
+    got = {r["doc_id"]: r["license"] for r in licenses.scan_licenses(frame(spark, [doc(i, x) for i, x in enumerate(texts)])).collect()}
+    assert [got[i] for i in range(len(texts))] == ["MIT"] * len(heads) + [None] * len(others) + [None, "MIT"]
