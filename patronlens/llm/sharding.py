@@ -6,8 +6,8 @@ capacity is the tightest that still holds it, found in a balanced search tree. A
 whatever the size of the table. All others are packed inside the tasks, `CHUNK` at a time, into that chunk's part of the
 capacity left over, so every chunk fills the shards evenly.
 
-Only a group larger than a quarter of a shard's capacity is divided, by hash of the row's id: kept whole,
-a group of copies holding a third of all bytes would leave no near-equal shards.
+Only a group larger than a shard's capacity is divided, by hash of the row's id: kept whole,
+a group of copies holding a third of all bytes would leave no near-equal shards. All others stay whole.
 
 Defined cases: a null text is the empty text, of size `OVERHEAD`; ties in size go by group; repeated rows
 are rows of their own, with slots of their own; an empty table gives an empty result. Only id and text
@@ -143,8 +143,8 @@ def assign_shards(
     total = groups.agg(F.sum("bytes")).first()[0] or 0
     capacity = -(-total // shards)
 
-    # Fewer than 4 x shards groups can be above a quarter of a shard.
-    heavy = {r["_group"]: r["bytes"] for r in groups.where(F.col("bytes") * 4 > capacity).collect()}
+    # Fewer than `shards` groups can be above a shard's capacity.
+    heavy = {r["_group"]: r["bytes"] for r in groups.where(F.col("bytes") > capacity).collect()}
     unit = F.col("_group")
     if heavy:
         spread = small_table(docs.sparkSession, [(g, -(-b * 8 // capacity)) for g, b in heavy.items()], "_heavy string, _parts bigint")

@@ -69,6 +69,22 @@ def test_a_group_larger_than_a_shard_is_divided(spark, many_partitions):
     assert max(loads) - min(loads) < 0.05 * max(loads)
 
 
+def test_groups_that_fit_in_a_shard_stay_whole(spark, many_partitions):
+    rows = [doc(1000 * g + i, f"copy {g} " * 30) for g, n in enumerate((900, 700, 500, 300)) for i in range(n)]
+    rows += [doc(9000 + i, f"text {i} " * 25) for i in range(4000)]
+    loads = check_shards(rows, assign_shards(frame(spark, rows), 6).collect(), 6)
+    assert max(loads) - min(loads) < 0.02 * max(loads)
+
+
+def test_the_query_divides_no_group_that_fits(spark, sf_dir):
+    got = op7_shards(spark, sf_dir).collect()
+    copies = defaultdict(list)
+    for r in got:
+        copies[r["size"], r["text_crc32"]].append(r)
+    capacity = -(-sum(r["size"] for r in got) // sharding.SHARDS)
+    assert all(len({r["shard"] for r in rs}) == 1 for rs in copies.values() if sum(r["size"] for r in rs) <= capacity)
+
+
 def test_shards_of_odd_rows(spark):
     rows = odd_documents()
     df = clashing(frame(spark, rows)).drop("size", "shard")
