@@ -6,7 +6,9 @@ The others (op2, op4, op5, op7, op9) are tested against brute force in tests/llm
 from __future__ import annotations
 
 from patronlens.llm.chat import DIRECTING, PART, UNKNOWN
+from patronlens.llm.filter_audit import FEWEST_WORDS, FILTERS, LEAST_DISTINCT, MOST_CAPITALS, SYMBOLS
 from patronlens.llm.licenses import COPYRIGHT, KNOWN, SPELLINGS
+from patronlens.llm.merkle import FIELDS
 from patronlens.llm.mixing import PASSES, SEED, SHARE, WEIGHTS
 
 
@@ -152,10 +154,102 @@ select doc_id, digest as canonical_sha256, license, coalesce(notices, '') as not
 from whole left join names using (digest) left join notices using (row)"""
 
 
+def _filter_audit() -> str:
+    letters = ", ".join(f"({i}, '{letter}')" for i, letter in enumerate(FILTERS))
+    names = [f"o{i}" for i in range(len(FILTERS))]
+    apart = " and ".join(f"{a}.i <> {b}.i" for k, a in enumerate(names) for b in names[:k])
+    return f"""
+with letters as (select * from (values {letters}) as l(i, letter))
+, orders as (
+  select {" || ".join(f"{o}.letter" for o in names)} as filter_order, [{", ".join(f"{o}.i" for o in names)}] as bits
+  from {", ".join(f"letters {o}" for o in names)} where {apart})
+, steps as (
+  select filter_order, step, bits[step] as bit, list_sum(list_transform(bits[1:step], lambda b: 1 << b))::bigint as after
+  from orders, range(1, {len(FILTERS) + 1}) as s(step))
+, texts as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t from documents)
+, counted as (
+  select *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') as w, min(doc_id) over (partition by t) as least from texts)
+, masked as (
+  select doc_id, part
+       , (length(w) < {FEWEST_WORDS})::int + 2 * (100 * length(list_distinct(w)) < {LEAST_DISTINCT} * length(w))::int
+         + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {MOST_CAPITALS} * length(t))::int
+         + 8 * regexp_matches(t, '{SYMBOLS}')::int + 16 * coalesce(doc_id > least, false)::int as mask
+  from counted)
+, marks as (
+  select doc_id, max((quality is not distinct from 1)::int) as good, max((toxic is not distinct from 1)::int) as toxic from labels group by doc_id)
+, cells as (
+  select part, mask, count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic
+  from masked left join marks using (doc_id) group by part, mask)
+, walked as (
+  select part, filter_order, step, bit
+       , sum(case when mask & after = 0 then n else 0 end)::bigint as kept
+       , sum(case when mask & after = 1 << bit then n else 0 end)::bigint as removed
+       , sum(case when mask & (1 << bit) <> 0 and mask & after <> 1 << bit then n else 0 end)::bigint as redundant
+       , sum(case when mask = 1 << bit then n else 0 end)::bigint as unique_fails
+       , sum(case when mask & after = 1 << bit then good else 0 end)::bigint as good_lost
+       , sum(case when mask & after = 1 << bit then toxic else 0 end)::bigint as toxic_lost
+  from cells, steps group by part, filter_order, step, bit)
+select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost
+     , sum(removed) over (partition by part, bit)::bigint as shapley
+from walked"""
+
+
+def _merkle() -> str:
+    def leaf(count: str) -> str:
+        said = [f"case when {c} is null then '-' else strlen({c}::varchar)::varchar || ':' || {c}::varchar end" for c in (count if f == "n_chars" else f for f in FIELDS)]
+        return f"sha256({' || '.join(said)})"
+
+    def tree(name: str, nodes: str) -> str:
+        return f"""
+{name} as (
+  select lang, 0 as level, i, n, h from {nodes}
+  union all
+  select lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' order by i)) from {name} where n > 1 group by lang, level, i // 2, n)"""
+
+    # The polynomial of CRC-32, bit by bit.
+    byte = "list_reduce(range(8), lambda c, b: xor(c >> 1, (c & 1) * 3988292384), xor(crc, code))"
+    crc = f"xor(list_reduce(list_transform(string_split(doc_id::varchar, ''), lambda s: unicode(s)::bigint), lambda crc, code: {byte}, 4294967295::bigint), 4294967295::bigint)"
+    return f"""
+with recursive digests as (
+  select doc_id, lang, {leaf("n_chars")} as leaf, case when {crc} % 7 = 0 then {leaf("(n_chars + 1)")} end as forged from documents)
+, leaves as (
+  select doc_id, lang, leaf, forged, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by lang) as n
+       , row_number() over () as row from digests)
+, low as (select lang, i, n, leaf as h from leaves)
+, {tree("lower_tree", "low")}
+, subroots as (
+  select lang as sub, row_number() over (order by lang nulls first) - 1 as i, count(*) over () as n, h from lower_tree where n = 1)
+, high as (select null as lang, i, n, h from subroots)
+, {tree("upper_tree", "high")}
+, steps as (
+  select row, l.level as level, l.i >> l.level as spot, s.h as sibling
+  from (select row, lang, i, n, unnest(range((select max(level) + 1 from lower_tree))) as level from leaves) l
+  left join lower_tree s on s.lang is not distinct from l.lang and s.level = l.level and s.i = xor(l.i >> l.level, 1)
+  where (1::bigint << l.level) < l.n
+  union all
+  select row, 1000 + l.level, l.spot >> l.level, s.h
+  from (select row, u.i as spot, u.n as m, unnest(range((select max(level) + 1 from upper_tree))) as level
+        from leaves join subroots u on u.sub is not distinct from leaves.lang) l
+  left join upper_tree s on s.level = l.level and s.i = xor(l.spot >> l.level, 1)
+  where (1::bigint << l.level) < m)
+, proofs as (
+  select row, string_agg(coalesce(sibling, ''), '' order by level) as proof
+       , list(case when spot & 1 = 1 then '<' else '>' end || coalesce(sibling, '') order by level) as path
+  from steps group by row)
+, top as (select h as root from upper_tree where n = 1)
+, folded as (
+  select doc_id, leaf, u.h as subroot, root, sha256(coalesce(proof, '')) as proof_sha256
+       , list_reduce([coalesce(forged, leaf)] || coalesce(path, []), lambda h, s: sha256(case when s[1] = '<' then s[2:] || h else h || s[2:] end)) as folded_root
+  from leaves join subroots u on u.sub is not distinct from leaves.lang left join proofs using (row), top)
+select *, folded_root = root as verified from folded"""
+
+
 ORACLE = {
     "op1_secrets": _secrets(),
     "op3_chat": _chat(),
     "op6_substrings": _substrings(),
     "op8_mix": _mix(),
     "op10_licenses": _licenses(),
+    "op12_filter_audit": _filter_audit(),
+    "op13_merkle": _merkle(),
 }

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, chat, graph_search, licenses, mixing, quality, secrets, sharding, simhash, substring
+from patronlens.llm import bpe, chat, filter_audit, graph_search, licenses, merkle, mixing, quality, secrets, sharding, simhash, substring
 
 
 def vocabulary() -> str:
@@ -71,10 +71,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = filter_audit.failure_cells(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.audit(cells)
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proved = merkle.manifest(table(spark, sf_dir, "documents"), carry={"forged": merkle.tampered_leaf()})
+    return merkle.verify(proved).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secrets, op2_bpe, op3_chat, op4_simhash, op5_neighbours,
         op6_substrings, op7_shards, op8_mix, op9_quality, op10_licenses,
+        op12_filter_audit, op13_merkle,
     )
 }
