@@ -9,6 +9,7 @@ from patronlens.llm.chat import DIRECTING, PART, UNKNOWN
 from patronlens.llm.filter_audit import FEWEST_WORDS, FILTERS, LEAST_DISTINCT, MOST_CAPITALS, SYMBOLS
 from patronlens.llm.licenses import COPYRIGHT, KNOWN, SPELLINGS
 from patronlens.llm.merkle import FIELDS
+from patronlens.llm.minhash import LIKENESS
 from patronlens.llm.mixing import PASSES, SEED, SHARE, WEIGHTS
 
 
@@ -154,6 +155,28 @@ select doc_id, digest as canonical_sha256, license, coalesce(notices, '') as not
 from whole left join names using (digest) left join notices using (row)"""
 
 
+def _minhash() -> str:
+    least, of = LIKENESS
+    return f"""
+with recursive texts as (
+  select row_number() over () as row, doc_id
+       , regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents)
+, sets as (
+  select row, doc_id
+       , case when length(w) < 2 then w else list_distinct(list_transform(range(1, length(w)), lambda i: w[i] || ' ' || w[i + 1])) end as s
+  from texts)
+, single as (select row, length(s) as n, unnest(s) as shingle from sets)
+, links as (
+  select a.row as a, b.row as b from single a join single b using (shingle) group by a.row, b.row, a.n, b.n
+  having {of} * count(*) >= {least} * (a.n + b.n - count(*)))
+, reached as (select a, b from links union select reached.a, links.b from reached join links on reached.b = links.a)
+, least as (select a as row, min(doc_id) as component_id from reached join sets on row = b group by a)
+select doc_id, length(s)::bigint as n_shingles, case when length(s) > 0 then component_id else doc_id end as component_id
+     , doc_id is not distinct from case when length(s) > 0 then component_id else doc_id end as kept
+from sets left join least using (row)"""
+
+
 def _filter_audit() -> str:
     letters = ", ".join(f"({i}, '{letter}')" for i, letter in enumerate(FILTERS))
     names = [f"o{i}" for i in range(len(FILTERS))]
@@ -250,6 +273,7 @@ ORACLE = {
     "op6_substrings": _substrings(),
     "op8_mix": _mix(),
     "op10_licenses": _licenses(),
+    "op11_minhash": _minhash(),
     "op12_filter_audit": _filter_audit(),
     "op13_merkle": _merkle(),
 }

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronlens.llm import bpe, chat, filter_audit, graph_search, licenses, merkle, mixing, quality, secrets, sharding, simhash, substring
+from patronlens.llm import bpe, chat, filter_audit, graph_search, licenses, merkle, minhash, mixing, quality, secrets, sharding, simhash, substring
 
 
 def vocabulary() -> str:
@@ -71,6 +71,11 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = minhash.minhash_classes(table(spark, sf_dir, "documents"))
+    return classes.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = filter_audit.failure_cells(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return filter_audit.audit(cells)
@@ -86,6 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_secrets, op2_bpe, op3_chat, op4_simhash, op5_neighbours,
         op6_substrings, op7_shards, op8_mix, op9_quality, op10_licenses,
-        op12_filter_audit, op13_merkle,
+        op11_minhash, op12_filter_audit, op13_merkle,
     )
 }

@@ -23,5 +23,5 @@ def test_query_agrees_with_sql(spark, sf_dir, name):
 
 def test_all_operators_and_the_pipeline_are_registered():
     names = [n for n in queries() if re.match(r"op\d+_|pipeline$", n)]
-    assert len(names) == 13 and set(QUERIES) | {"pipeline"} == set(names)
+    assert len(names) == 14 and set(QUERIES) | {"pipeline"} == set(names)
     assert set(ORACLE) <= set(oracle_sql())
