@@ -1,18 +1,24 @@
-"""Churn classifiers on the customer table."""
+"""Churn classifiers on the customer table: a regression of `pyspark.ml` and three tree ensembles of `trees`."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.functions.columns import predicted_flag
 from patronlens.operators.evaluation import class_weights
-from patronlens.operators.sampling import FIT_PARTITIONS, in_fixed_layout, stratified_split, upsample_minority
-from patronlens.workspace import enable_model_checkpoints, materialize
+from patronlens.operators import trees
+from patronlens.operators.sampling import stratified_split, upsample_minority
+from patronlens.operators.trees import Recipe, TreeEnsemble
+from patronlens.workspace import materialize
+
+Model = PipelineModel | TreeEnsemble
 
 # The classifier's inputs. The label is a rule over recency, so no recency column is a feature.
 CHURN_FEATURES = [
@@ -42,47 +48,46 @@ def churn_split(customers: DataFrame, test: float = 0.25, seed: int = 42) -> Dat
     return stratified_split(churn_features(customers), "label", ["customer_id"], test, seed)
 
 
-def _learner(kind: str, n: int, params: dict):
-    common = {"featuresCol": "features", "labelCol": "label", "weightCol": "weight"}
-    if kind == "logreg":
-        # An L2 penalty of one over the summed weights; the second factor carries the sample
-        # deviation of the scaler over to the population deviation.
-        penalty = (n - 1) / (n * n)
-        defaults = {
-            "maxIter": 1000, "regParam": penalty, "elasticNetParam": 0.0,
-            "standardization": False, "featuresCol": "scaled", "tol": 1e-4,
-        }
-        return LogisticRegression(**{**common, **defaults, **params})
-    if kind == "rf":
-        defaults = {
-            "numTrees": 300, "maxDepth": 8, "minInstancesPerNode": 10, "seed": 42, "maxMemoryInMB": 1024,
-        }
-        return RandomForestClassifier(**{**common, **defaults, **params})
-    if kind == "gbt":
-        defaults = {"maxIter": 300, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.8, "seed": 42}
-        return GBTClassifier(**{**common, **defaults, **params})
-    if kind == "gbt_weighted":
-        defaults = {
-            "maxIter": 400, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8,
-            "featureSubsetStrategy": "0.8", "seed": 42,
-        }
-        return GBTClassifier(**{**common, **defaults, **params})
-    raise ValueError(f"unknown kind of model: {kind}")
-
-
-def fit_churn(
-    train: DataFrame, kind: str = "logreg", partitions: int = FIT_PARTITIONS, resample: bool = False, **params
-) -> PipelineModel:
+# The settings of the three ensembles.
+RECIPES = {
+    "rf": Recipe(trees=300, depth=8, boosted=False, share=None, node_features=4, least_rows=10),
+    "gbt": Recipe(trees=300, depth=4, rate=0.05, share=0.8),
+    "gbt_weighted": Recipe(trees=400, depth=5, rate=0.05, share=0.8, columns=0.8, second_order=True, penalty=1.0, least_mass=1.0),
+}
+
+# Names that `fit_churn` takes, those of `pyspark.ml`.
+_PARAMS = {
+    "numTrees": "trees", "maxIter": "trees", "maxDepth": "depth", "stepSize": "rate", "subsamplingRate": "share",
+    "minInstancesPerNode": "least_rows", "maxBins": "bins", "seed": "seed",
+}
+
+
+def recipe(kind: str, **params) -> Recipe:
+    if kind not in RECIPES:
+        raise ValueError(f"unknown kind of model: {kind}")
+    return replace(RECIPES[kind], **{_PARAMS[name]: value for name, value in params.items()})
+
+
+def _regression(n: int, params: dict) -> LogisticRegression:
+    # An L2 penalty of one over the summed weights; the second factor carries the sample
+    # deviation of the scaler over to the population deviation.
+    defaults = {
+        "featuresCol": "scaled", "labelCol": "label", "weightCol": "weight", "maxIter": 1000,
+        "regParam": (n - 1) / (n * n), "elasticNetParam": 0.0, "standardization": False, "tol": 1e-4,
+    }
+    return LogisticRegression(**{**defaults, **params})
+
+
+def fit_churn(train: DataFrame, kind: str = "logreg", resample: bool = False, **params) -> Model:
     """Fit one classifier on `label` and the churn features.
 
     Classes are balanced by weights: n / (2 n_class) for the regression and the forest; for
     the boosted trees positives weigh n_negative / n_positive, which stands for resampling
     one class to the size of the other without writing the copies. `resample` writes them
-    instead. The fit depends on the rows, the seed and `partitions` only.
+    instead. The ensembles draw rows by customer, so their fit depends on the rows and the seed only.
     """
     if resample:
         train = materialize(upsample_minority(train, "label", ["customer_id"]), "resampled")
-    enable_model_checkpoints(train.sparkSession)
     sizes = class_weights(train).first()
     n = sizes["n_negative"] + sizes["n_positive"]
     if kind in ("logreg", "rf"):
@@ -91,24 +96,28 @@ def fit_churn(
         weights = (1.0, sizes["positive_ratio"])
     weight = F.when(F.col("label") == 0, F.lit(weights[0])).otherwise(F.lit(weights[1]))
     weighted = train.withColumn("weight", weight)
-    weighted = in_fixed_layout(weighted, ["customer_id"], partitions)
-    stages = [VectorAssembler(inputCols=CHURN_FEATURES, outputCol="features")]
-    if kind == "logreg":
-        stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True))
-    return Pipeline(stages=[*stages, _learner(kind, n, params)]).fit(weighted)
-
-
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+    if kind != "logreg":
+        # Copies of a resampled row are told apart by their draw.
+        keys = ["customer_id", "draw"] if resample else ["customer_id"]
+        return trees.fit(weighted, CHURN_FEATURES, keys, recipe(kind, **params), weight="weight")
+    stages = [
+        VectorAssembler(inputCols=CHURN_FEATURES, outputCol="features"),
+        StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
+        _regression(n, params),
+    ]
+    return Pipeline(stages=stages).fit(weighted)
+
+
+def predict(model: Model, df: DataFrame) -> DataFrame:
     """`df` with `score` (probability of churn) and `prediction`."""
-    scored = model.transform(df.drop("prediction"))
-    return scored.select(
-        *[c for c in df.columns if c != "prediction"],
-        vector_to_array("probability")[1].alias("score"),
-        F.col("prediction").cast("int").alias("prediction"),
-    )
+    kept = [c for c in df.columns if c != "prediction"]
+    if isinstance(model, TreeEnsemble):
+        return df.select(*kept, model.probability().alias("score")).withColumn("prediction", (F.col("score") > 0.5).cast("int"))
+    scored = model.transform(df.select(*kept))
+    return scored.select(*kept, vector_to_array("probability")[1].alias("score"), F.col("prediction").cast("int").alias("prediction"))
 
 
-def churn_scores(model: PipelineModel, customers: DataFrame) -> DataFrame:
+def churn_scores(model: Model, customers: DataFrame) -> DataFrame:
     """Probability (four digits) and the flag cut from it, for every customer."""
     scored = predict(model, churn_features(customers))
     return scored.select(
@@ -118,16 +127,19 @@ def churn_scores(model: PipelineModel, customers: DataFrame) -> DataFrame:
     )
 
 
-def feature_importance(spark, model: PipelineModel, n: int | None = None) -> DataFrame:
+def feature_importance(spark: SparkSession, model: TreeEnsemble, n: int | None = None) -> DataFrame:
     """Importance per feature, highest first; with `n` the top drivers only."""
-    weights = [float(w) for w in model.stages[-1].featureImportances.toArray()]
-    rows = sorted(zip(model.stages[0].getInputCols(), weights), key=lambda r: (-r[1], r[0]))
+    weights = [float(w) for w in model.importances]
+    rows = sorted(zip(model.features, weights), key=lambda r: (-r[1], r[0]))
     return spark.createDataFrame(rows[:n], "feature string, importance double")
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: Model, path: str) -> None:
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(path)
+    else:
+        model.save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> Model:
+    return TreeEnsemble.load(path) if trees.stored_ensemble(path) else PipelineModel.load(path)

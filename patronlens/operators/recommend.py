@@ -9,18 +9,16 @@ model looks at every candidate, because a score is asked for each.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from patronlens.operators.affinity import category_shares, product_dimension
 from patronlens.operators.ranking import global_rank, running_totals
-from patronlens.operators.sampling import FIT_PARTITIONS, in_fixed_layout, stratified_split
-from patronlens.workspace import enable_model_checkpoints, materialize
+from patronlens.operators import trees
+from patronlens.operators.sampling import stratified_split
+from patronlens.operators.trees import Recipe, TreeEnsemble
+from patronlens.workspace import materialize
 
 # Products that one row carries while candidates are scored; larger catalogues take several rows a customer.
 SHELF = 10_000
@@ -228,23 +226,15 @@ def pair_split(pairs: DataFrame, test: float = 0.2, seed: int = 42) -> DataFrame
     return stratified_split(pairs, "label", ["customer_id", "product_id"], test, seed)
 
 
-def fit_ranker(
-    pairs: DataFrame, rounds: int = 150, depth: int = 3, rate: float = 0.1, seed: int = 42,
-    partitions: int = FIT_PARTITIONS,
-) -> PipelineModel:
-    """Boosted trees over pairs; `RANKERS` names the settings. The fit depends on the pairs, the seed and `partitions` only."""
-    enable_model_checkpoints(pairs.sparkSession)
-    assemble = VectorAssembler(inputCols=RANKER_FEATURES, outputCol="features")
-    boost = GBTClassifier(
-        featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed
-    )
-    return Pipeline(stages=[assemble, boost]).fit(in_fixed_layout(pairs, ["customer_id", "product_id"], partitions))
+def fit_ranker(pairs: DataFrame, rounds: int = 150, depth: int = 3, rate: float = 0.1, seed: int = 42) -> TreeEnsemble:
+    """Boosted trees over pairs; `RANKERS` names the settings. The fit depends on the pairs and the seed only."""
+    recipe = Recipe(trees=rounds, depth=depth, rate=rate, seed=seed)
+    return trees.fit(pairs, RANKER_FEATURES, ["customer_id", "product_id"], recipe)
 
 
-def score_pairs(model: PipelineModel, pairs: DataFrame) -> DataFrame:
+def score_pairs(model: TreeEnsemble, pairs: DataFrame) -> DataFrame:
     """`pairs` with the ranker's probability as `score`."""
-    score = vector_to_array("probability")[1].alias("score")
-    return model.transform(pairs).select(*pairs.columns, score)
+    return pairs.select(*pairs.columns, model.probability().alias("score"))
 
 
 def _best_to_customers(customers: DataFrame, best: DataFrame) -> DataFrame:
@@ -283,7 +273,7 @@ def _candidates(customers: DataFrame, bought: DataFrame, catalogue: DataFrame) -
 def recommend(
     customers: DataFrame,
     sales: DataFrame,
-    model: PipelineModel,
+    model: TreeEnsemble,
     products: DataFrame | None = None,
     top_n: int = 1,
 ) -> DataFrame:

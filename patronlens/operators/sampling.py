@@ -10,18 +10,6 @@ from pyspark.sql import functions as F
 from patronlens.operators.ranking import follows, global_rank, order_statistics
 
 
-# Partitions that a model is fitted over, unless a call says otherwise.
-FIT_PARTITIONS = 8
-
-
-def in_fixed_layout(df: DataFrame, keys: Sequence[str], partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """The same rows in the same partitions and order on any cluster.
-
-    Learners draw rows per partition, so a fit would otherwise change with the number of cores or files.
-    """
-    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
-
-
 def _ticket(id_cols: Sequence[str], seed: int):
     return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in id_cols], F.lit(str(seed))))
 

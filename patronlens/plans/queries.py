@@ -634,12 +634,24 @@ def _pair_scores(spark, sf_dir):
     return stages.stored(spark, sf_dir, "pair_scores", lambda: scored)
 
 
+def _deep_pair_scores(spark, sf_dir):
+    test = stages.reco_split(spark, sf_dir).where("is_test = 1")
+    scored = recommend.score_pairs(stages.deep_ranker(spark, sf_dir), test)
+    return stages.stored(spark, sf_dir, "deep_pair_scores", lambda: scored)
+
+
 @query("reco_ranker")
 def reco_ranker(spark, sf_dir):
     """Area under the curve of the product ranker on held-out pairs."""
     return evaluation.roc_auc(_pair_scores(spark, sf_dir))
 
 
+@query("reco_ranker_deep")
+def reco_ranker_deep(spark, sf_dir):
+    """The same for the deeper setting of the ranker."""
+    return evaluation.roc_auc(_deep_pair_scores(spark, sf_dir))
+
+
 @query("recommend_top1")
 @stored("recommend_top1")
 def recommend_top1(spark, sf_dir):
@@ -649,6 +661,7 @@ def recommend_top1(spark, sf_dir):
 
 
 @query("recommend_top3")
+@stored("recommend_top3")
 def recommend_top3(spark, sf_dir):
     return recommend.recommend(
         stages.customer_table(spark, sf_dir), views.sales(spark, sf_dir), stages.ranker(spark, sf_dir), top_n=3
@@ -728,6 +741,33 @@ def reco_ranker_valid(spark, sf_dir):
     return scored.agg(F.count("*").alias("n_test")).select("n_test", (auc >= RANKER_FLOOR).alias("auc_above_floor"))
 
 
+@query("reco_ranker_deep_valid")
+def reco_ranker_deep_valid(spark, sf_dir):
+    scored = _deep_pair_scores(spark, sf_dir)
+    auc = evaluation.roc_auc(scored).scalar()
+    return scored.agg(F.count("*").alias("n_test")).select("n_test", (auc >= RANKER_FLOOR).alias("auc_above_floor"))
+
+
+@query("recommend_top3_valid")
+def recommend_top3_valid(spark, sf_dir):
+    """Per customer: up to three different unseen products in falling order of score, the first being that of `recommend_top1`."""
+    sales = views.sales(spark, sf_dir)
+    bought = affinity.customer_baskets(sales).select("customer_id", F.col("product_name").alias("recommended_product"), F.lit(1).alias("_seen"))
+    three = recommend_top3(spark, sf_dir).join(bought, ["customer_id", "recommended_product"], "left")
+    listed = three.groupBy("customer_id").agg(
+        F.count("*").alias("n_ranks"), F.max("rank").alias("_last"), F.count("_seen").alias("_known"), F.countDistinct("recommended_product").alias("_names"),
+        F.array_sort(F.collect_list(F.struct("rank", "recommendation_score", "recommended_product"))).alias("_l"),
+    )
+    scores = F.transform("_l", lambda r: r["recommendation_score"])
+    first = recommend_top1(spark, sf_dir).select("customer_id", F.col("recommended_product").alias("_first"), F.col("recommendation_score").alias("_score"))
+    return listed.join(first, "customer_id").select(
+        "customer_id", "n_ranks", (F.col("_last") == F.col("n_ranks")).alias("ranks_without_gaps"),
+        ((F.col("_known") == 0) & (F.col("_names") == F.col("n_ranks"))).alias("different_and_unseen"),
+        (scores == F.sort_array(scores, False)).alias("scores_fall"),
+        ((F.get("_l", F.lit(0))["recommended_product"] == F.col("_first")) & (F.get("_l", F.lit(0))["recommendation_score"] == F.col("_score"))).alias("first_is_top1"),
+    )
+
+
 @query("recommend_top1_valid")
 def recommend_top1_valid(spark, sf_dir):
     """Per customer: a product of the catalogue that is not in the basket, or None where nothing is left."""

@@ -8,19 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronlens.functions.columns import predicted_flag
 from patronlens.operators import churn, recommend, segments
 from patronlens.operators.customer_table import build_customer_table
+from patronlens.operators.trees import TreeEnsemble
 from patronlens.plans import exports
 from patronlens.sources import views
-from patronlens.workspace import materialize
+from patronlens.workspace import materialize, on_clear
 
 _tables: dict[tuple[str, str, str], DataFrame] = {}
-_models: dict[tuple[str, str, str], PipelineModel] = {}
+_models: dict[tuple[str, str, str], churn.Model] = {}
 
 
 def reset() -> None:
@@ -29,6 +29,9 @@ def reset() -> None:
     _models.clear()
 
 
+on_clear.append(reset)
+
+
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
     return spark.sparkContext.applicationId, sf_dir, name
 
@@ -45,7 +48,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return _table(spark, sf_dir, name, build)
 
 
-def _model(spark: SparkSession, sf_dir: str, name: str, fit: Callable[[], PipelineModel]) -> PipelineModel:
+def _model(spark: SparkSession, sf_dir: str, name: str, fit: Callable[[], churn.Model]) -> churn.Model:
     key = _key(spark, sf_dir, name)
     if key not in _models:
         _models[key] = fit()
@@ -81,7 +84,10 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
         customers = customer_table(spark, sf_dir)
         named = segments.with_segment_names(with_fixed_scores(customers))
         best = recommend.recommend_by_affinity(customers, views.sales(spark, sf_dir))
-        return named.join(best, "customer_id", "left")
+        # A stand-in for the model's score, as the churn probability has one.
+        none = F.lit(0).cast("decimal(5,4)")
+        score = F.when(F.col("recommended_product") != "None", fixed_score(3331)).otherwise(none)
+        return named.join(best.withColumn("recommendation_score", score), "customer_id", "left")
 
     return _table(spark, sf_dir, "enriched", build)
 
@@ -98,7 +104,7 @@ def churn_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def churn_model(spark: SparkSession, sf_dir: str, kind: str) -> PipelineModel:
+def churn_model(spark: SparkSession, sf_dir: str, kind: str) -> churn.Model:
     train = churn_split(spark, sf_dir).where("is_test = 0")
     return _model(spark, sf_dir, f"churn_{kind}", lambda: churn.fit_churn(train, kind))
 
@@ -119,6 +125,12 @@ def reco_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "reco_split", build)
 
 
-def ranker(spark: SparkSession, sf_dir: str) -> PipelineModel:
+def deep_ranker(spark: SparkSession, sf_dir: str) -> TreeEnsemble:
+    """The ranker's deeper setting."""
+    train = reco_split(spark, sf_dir).where("is_test = 0")
+    return _model(spark, sf_dir, "ranker_deep", lambda: recommend.fit_ranker(train, **recommend.RANKERS["ranker_deep"]))
+
+
+def ranker(spark: SparkSession, sf_dir: str) -> TreeEnsemble:
     train = reco_split(spark, sf_dir).where("is_test = 0")
     return _model(spark, sf_dir, "ranker", lambda: recommend.fit_ranker(train))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from patronlens.sources.schemas import SOURCES
 from patronlens.workspace import new_path
 
+_VERSION = "version-"
 _QUOTES = {"header": True, "quote": '"', "escape": '"'}
 
 
@@ -25,21 +26,42 @@ def read_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: read_csv(spark, f"{folder}/{name}.csv", schema) for name, schema in SOURCES.items()}
 
 
-def write_stage(df: DataFrame, path: str) -> DataFrame:
-    """Write a stage output and hand over the written table."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _folder(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
-def stored_stage(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stage at `path`, or None if no run has written it yet."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    there = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
-    return read_stage(spark, path) if there else None
+def _versions(spark: SparkSession, path: str) -> tuple[list[int], list[int]]:
+    """Numbers of all versions of a stage and of the whole ones, which have Spark's mark of success."""
+    files, place = _folder(spark, path)
+    found = files.listStatus(place) if files.exists(place) else []
+    names = [status.getPath().getName() for status in found]
+    numbers = sorted(int(n.removeprefix(_VERSION)) for n in names if n.startswith(_VERSION))
+    whole = [n for n in numbers if files.exists(_folder(spark, f"{path}/{_VERSION}{n:08d}/_SUCCESS")[1])]
+    return numbers, whole
+
 
+def write_stage(df: DataFrame, path: str) -> DataFrame:
+    """Write a stage output as a new version and hand over the written table.
+
+    Readers take the latest whole version, so a write that breaks leaves the one before in place, and
+    `df` may read it. One earlier version is kept for frames that still read it.
+    """
+    spark = df.sparkSession
+    numbers, whole = _versions(spark, path)
+    written = f"{path}/{_VERSION}{max(numbers, default=0) + 1:08d}"
+    df.write.parquet(written)
+    for old in numbers:
+        if old not in whole[-1:]:
+            files, place = _folder(spark, f"{path}/{_VERSION}{old:08d}")
+            files.delete(place, True)
+    return spark.read.schema(df.schema).parquet(written)
 
-def read_stage(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+
+def stored_stage(spark: SparkSession, path: str) -> DataFrame | None:
+    """The latest whole version of the stage at `path`, or None if no run has written one yet."""
+    whole = _versions(spark, path)[1]
+    return spark.read.parquet(f"{path}/{_VERSION}{whole[-1]:08d}") if whole else None
 
 
 def enrich_master(

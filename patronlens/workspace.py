@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import json
+import os
+import shutil
 import tempfile
+import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +26,12 @@ SETTINGS = {
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _local_folders: dict[str, str] = {}
+_shipped: set[str] = set()
+# One entry per write under way: the setting before the first of them.
+_writing: list[str | None] = []
+_writing_lock = threading.Lock()
+# What to forget when the written tables go.
+on_clear: list[Callable[[], None]] = []
 
 
 def build_session(master: str | None = None, app: str = "patronlens", **settings) -> SparkSession:
@@ -62,15 +72,29 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with _freeing(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _freeing(spark: SparkSession) -> Iterator[None]:
+    """Writes free their exchanges. Of writes side by side the first sets this and the last takes it back."""
+    with _writing_lock:
+        if not _writing:
+            _writing.append(spark.conf.get(_CLEANUP, None))
+            spark.conf.set(_CLEANUP, "true")
+        else:
+            _writing.append(_writing[0])
+    try:
+        yield
+    finally:
+        with _writing_lock:
+            before = _writing.pop()
+            if not _writing:
+                spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def small_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
     """A table of a few driver values as one literal, so that no Python runs on the executors."""
     names = [field.split()[0] for field in schema.split(", ")]
@@ -80,11 +104,15 @@ def small_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> D
     return spark.range(0, 1, 1, 1).select(parsed.alias("_r")).select("_r.*")
 
 
-def enable_model_checkpoints(spark: SparkSession) -> None:
-    """Boosting cuts its lineage every few rounds once a checkpoint folder is known."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, so that batch functions can import it there. Once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = os.path.dirname(os.path.abspath(__file__))
+        # Only the driver's file server reads the archive.
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{os.path.basename(root)}", "zip", os.path.dirname(root), os.path.basename(root))
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(app)
 
 
 def clear_workspace(spark: SparkSession) -> None:
@@ -92,3 +120,5 @@ def clear_workspace(spark: SparkSession) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for forget in on_clear:
+        forget()

@@ -3,6 +3,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from patronlens.functions.columns import line_revenue
@@ -109,7 +110,7 @@ def test_totals_agree_between_exports(spark, sf_dir):
 
 def board_input(spark, out):
     """The customer table of a finished run."""
-    return spark.read.parquet(f"{out}/stages/customer_table")
+    return files.stored_stage(spark, f"{out}/stages/customer_table")
 
 
 def test_whole_run_from_files_to_files(spark):
@@ -170,3 +171,16 @@ def test_workspace_can_be_cleared():
     stages.reset()
     with pytest.raises(Exception):
         session.read.parquet(shared_folder(session)).count()
+
+
+def test_a_broken_write_leaves_the_stage_before(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    assert files.stored_stage(spark, path) is None
+    files.write_stage(spark.range(3), path)
+    # The new version may be made from the one that it replaces.
+    doubled = files.write_stage(files.stored_stage(spark, path).selectExpr("id * 2 as id"), path)
+    with pytest.raises(Exception, match="broken"):
+        files.write_stage(files.stored_stage(spark, path).select(F.when(F.col("id") > 2, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).alias("id")), path)
+    assert sorted(r["id"] for r in files.stored_stage(spark, path).collect()) == sorted(r["id"] for r in doubled.collect()) == [0, 2, 4]
+    files.write_stage(spark.range(1), path)
+    assert files.stored_stage(spark, path).count() == 1 and len(list((tmp_path / "stage").iterdir())) == 2
