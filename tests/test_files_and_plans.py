@@ -1,6 +1,8 @@
 import datetime
 import random
 from decimal import Decimal
+from multiprocessing.pool import ThreadPool
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from __spark_entry__ import queries
 from patronlens.functions.columns import line_revenue
 from patronlens.plans import exports, measures, pipeline, stages
 from patronlens.sources import files, schemas
-from patronlens.workspace import clear_workspace, materialize, new_path, shared_folder
+from patronlens.workspace import clear_workspace, materialize, new_path, shared_folder, ship_package
 
 AS_OF = datetime.date(2024, 6, 30)
 
@@ -184,3 +186,11 @@ def test_a_broken_write_leaves_the_stage_before(spark, tmp_path):
     assert sorted(r["id"] for r in files.stored_stage(spark, path).collect()) == sorted(r["id"] for r in doubled.collect()) == [0, 2, 4]
     files.write_stage(spark.range(1), path)
     assert files.stored_stage(spark, path).count() == 1 and len(list((tmp_path / "stage").iterdir())) == 2
+
+
+def test_fits_side_by_side_send_the_package_once():
+    sent = []
+    context = SimpleNamespace(applicationId="test-side-by-side", addPyFile=sent.append)
+    with ThreadPool(8) as pool:
+        pool.map(ship_package, [SimpleNamespace(sparkContext=context)] * 8, chunksize=1)
+    assert len(sent) == 1
