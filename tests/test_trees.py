@@ -2,11 +2,12 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from patronlens.functions import histograms as hist
 from patronlens.operators import evaluation, trees
 from patronlens.operators.trees import Recipe, TreeEnsemble
-from patronlens.workspace import materialize, new_path
+from patronlens.workspace import materialize, new_path, ship_package
 
 FEATURES = ["a", "b", "c", "d"]
 
@@ -135,3 +136,21 @@ def test_one_class_and_constant_features(spark):
     for recipe in RECIPES.values():
         model = trees.fit(df, FEATURES, ["id"], recipe)
         assert (model.feature == -1).all() and model.total_nodes == recipe.trees
+
+
+def test_rows_of_one_file_are_dealt_over_the_cores(spark):
+    ship_package(spark)
+    one = spark.range(40_000).select("id", *[F.rand(j).alias(f) for j, f in enumerate(FEATURES)], (F.col("id") % 2).alias("label")).coalesce(1)
+    blocks = trees._blocks(one, ["id"], "label", None, FEATURES, [np.array([0.5])] * 4, 0.0, 40_000)
+    sizes = blocks.mapPartitions(lambda part: [sum(len(b.ids) for b in part)]).collect()
+    assert sum(sizes) == 40_000 and len(sizes) > 4 and max(sizes) < 8_000
+
+
+def test_a_pass_sees_the_smaller_child_of_each_split_only(small, monkeypatch):
+    _, _, df = small
+    asked = []
+    sums = trees._Grower.sums
+    monkeypatch.setattr(trees._Grower, "sums", lambda self, levels: asked.append(len(levels[0].chosen)) or sums(self, levels))
+    model = trees.fit(df, FEATURES, ["id"], replace(RECIPES["first"], trees=1), weight="w")
+    splits = [int((model.feature[0, 2**d - 1:2 ** (d + 1) - 1] >= 0).sum()) for d in range(2)]
+    assert asked == [1, *splits]
