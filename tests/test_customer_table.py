@@ -162,3 +162,16 @@ def test_one_customer_with_a_third_of_the_lines(spark):
     )
     hot = features.purchase_profile(lines, AS_OF).where("customer_id = 'C0'").first()
     assert (hot["frequency"], hot["monetary"], hot["total_units"]) == (2000, Decimal("2000.00"), 2000)
+
+
+def test_sales_are_dealt_by_order_and_cleaned_where_they_meet(spark, sf_dir, monkeypatch):
+    plain = sorted(map(tuple, views.sales(spark, sf_dir).collect()))
+    monkeypatch.setattr(views, "TASK_BYTES", 20_000)
+    tasks = -(-views.stored_bytes(spark, f"{sf_dir}/lineitem.parquet") // 20_000)
+    dealt = views.sales(spark, sf_dir)
+    assert tasks > 1 and dealt.rdd.getNumPartitions() == tasks
+    at = dealt.select("order_id", F.spark_partition_id().alias("p")).distinct()
+    assert at.count() == at.select("order_id").distinct().count()
+    assert sorted(map(tuple, dealt.collect())) == plain
+    # Duplicates need no exchange of their own.
+    assert cleaning.clean_source(dealt).rdd.getNumPartitions() == tasks

@@ -257,3 +257,8 @@ def test_affinity_of_many_categories(spark):
     rows = spark.range(10_001).selectExpr("'c' customer_id", "cast(id as string) category", "cast(1 as decimal(18,2)) revenue")
     got = affinity.category_affinity(rows)
     assert got.count() == 10_001 and got.agg(F.sum("category_affinity")).first()[0] == pytest.approx(1.0)
+
+
+def test_no_step_of_the_draw_is_shuffled(sales):
+    plan = recommend.training_pairs(sales)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "row_number" not in plan
