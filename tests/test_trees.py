@@ -154,3 +154,29 @@ def test_a_pass_sees_the_smaller_child_of_each_split_only(small, monkeypatch):
     model = trees.fit(df, FEATURES, ["id"], replace(RECIPES["first"], trees=1), weight="w")
     splits = [int((model.feature[0, 2**d - 1:2 ** (d + 1) - 1] >= 0).sum()) for d in range(2)]
     assert asked == [1, *splits]
+
+
+def test_blocks_are_written_anew_after_several_trees_only(small, monkeypatch):
+    _, _, df = small
+    kept, keep = [], trees._Grower._kept
+    monkeypatch.setattr(trees._Grower, "_kept", lambda self, blocks, checkpoint: kept.append(checkpoint) or keep(self, blocks, checkpoint))
+    model = trees.fit(df, FEATURES, ["id"], replace(RECIPES["first"], trees=12), weight="w")
+    assert kept == [True, False]
+    monkeypatch.setattr(trees, "CARRIED", 1)
+    assert same(model, trees.fit(df, FEATURES, ["id"], replace(RECIPES["first"], trees=12), weight="w"))
+
+
+def test_shallow_trees_are_walked_as_deep_ones_are(monkeypatch):
+    draw = np.random.default_rng(5)
+    for depth in range(6):
+        size = 2 ** (depth + 1) - 1
+        feature, x, cut = np.full(size, -1), draw.normal(size=(4, 200)), draw.normal(size=size)
+        x[draw.random(x.shape) < 0.05] = np.nan
+        for place in range(2**depth - 1):
+            if place == 0 or feature[(place - 1) // 2] >= 0:
+                feature[place] = draw.integers(0, 4) if draw.random() < 0.8 else -1
+        value = draw.normal(size=size)
+        monkeypatch.setattr(hist, "SHALLOW", 5)
+        places, values = hist.descend(x, feature, cut, depth), hist.reached_values(x, feature, cut, value, depth)
+        monkeypatch.setattr(hist, "SHALLOW", -1)
+        assert (places == hist.descend(x, feature, cut, depth)).all() and (values == value[places]).all()
