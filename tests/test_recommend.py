@@ -8,6 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from patronlens.operators import affinity, recommend
+from patronlens.plans import stages
+from patronlens.plans.queries import QUERIES
+from patronlens.sources import views
 from patronlens.workspace import materialize
 
 PRODUCTS = [(f"P{i:02d}", f"N{(i * 5) % 12:02d}", "ABC"[i % 3], Decimal(10 + 7 * i % 40)) for i in range(12)]
@@ -262,3 +265,15 @@ def test_affinity_of_many_categories(spark):
 def test_no_step_of_the_draw_is_shuffled(sales):
     plan = recommend.training_pairs(sales)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" not in plan and "row_number" not in plan
+
+
+def test_order_lines_are_joined_once_for_all_recommendations(spark, sf_dir, monkeypatch):
+    joined, view = [], views.sales
+    monkeypatch.setattr(stages, "_tables", {})
+    people = stages.customer_table(spark, sf_dir)
+    monkeypatch.setattr(views, "sales", lambda *args: joined.append(args) or view(*args))
+    for name in ("negative_samples", "recommend_by_affinity", "dim_products"):
+        assert QUERIES[name](spark, sf_dir).count() > 0
+    assert stages.reco_split(spark, sf_dir).count() > 0 and len(joined) == 1
+    got = recommend.recommend_by_affinity(people, view(spark, sf_dir))
+    assert got.exceptAll(QUERIES["recommend_by_affinity"](spark, sf_dir)).count() == 0
