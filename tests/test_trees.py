@@ -1,4 +1,5 @@
 from dataclasses import replace
+from functools import partial
 
 import numpy as np
 import pytest
@@ -180,3 +181,46 @@ def test_shallow_trees_are_walked_as_deep_ones_are(monkeypatch):
         places, values = hist.descend(x, feature, cut, depth), hist.reached_values(x, feature, cut, value, depth)
         monkeypatch.setattr(hist, "SHALLOW", -1)
         assert (places == hist.descend(x, feature, cut, depth)).all() and (values == value[places]).all()
+
+
+def test_two_features_at_a_time_grow_the_same_trees(small, monkeypatch):
+    """Carried trees, all kinds of levels, odd numbers of features and several blocks; without keys in the blocks."""
+    _, _, df = small
+    monkeypatch.setattr(trees, "QUICK_BLOCK", 90)
+    for features, recipe in ((FEATURES, Recipe(trees=14, depth=4)), (FEATURES[:3], Recipe(trees=7, depth=2, second_order=True, bins=20))):
+        assert recipe.quick
+        found = trees.fit(df.repartition(3), features, ["id"], recipe)
+        monkeypatch.setattr(hist, "MASKED", 0)
+        assert not recipe.quick
+        plain = trees.fit(df.repartition(3), features, ["id"], recipe)
+        monkeypatch.undo()
+        monkeypatch.setattr(trees, "QUICK_BLOCK", 90)
+        assert same(found, plain)
+
+
+def test_histograms_of_two_features_are_those_of_one(spark):
+    draw = np.random.default_rng(8)
+    bins = draw.integers(0, 64, (5, 3000)).astype(np.uint8)
+    rows = hist.Rows(np.arange(3000), bins, draw.integers(0, 2, 3000).astype(np.int8), np.ones(1), draw.normal(0, 9, 3000))
+    level = hist.Level(0, np.array([1, -1, 4, -1, -1, -1, -1]), np.array([30, 0, 12, 0, 0, 0, 0]), 2, np.array([-1, 0, -1, -1, -1, 1, -1]), np.tile(np.arange(5), (2, 1)))
+    for second_order in (False, True):
+        plain = hist.level_histograms(rows, level, None, partial(hist.statistics, rows, boosted=True, second_order=second_order), 64)
+        found = np.zeros_like(plain)
+        trees._quick_sums(iter([rows]), [level], [], Recipe(trees=1, depth=2, second_order=second_order), [found])
+        assert (found == plain).all() and plain[..., 3].sum() > 0
+
+
+def test_scores_over_bins_are_those_over_values(spark, monkeypatch):
+    draw = np.random.default_rng(6)
+    x = draw.choice([-1.5, 0.0, 2.0, 2.5, 7.0, np.nan, np.inf, -np.inf, 3.25], (3, 400))
+    for depth in (1, 3, 4):
+        shape = (11, 2 ** (depth + 1) - 1)
+        feature = np.where(draw.random(shape) < 0.8, draw.integers(0, 3, shape), -1)
+        feature[:, 2**depth - 1:] = -1
+        model = TreeEnsemble(["a", "b", "c"], True, 0.3, depth, feature, draw.choice([-1.5, 0.0, 2.0, 3.25], shape), draw.normal(size=shape), np.zeros(shape))
+        assert model._binned() is not None
+        df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x.T)], "id int, a double, b double, c double")
+        found = {r["id"]: r["p"] for r in df.select("id", model.probability().alias("p")).collect()}
+        assert [found[i] for i in range(400)] == model.raw(x).tolist()
+    monkeypatch.setattr(hist, "MASKED", 0)
+    assert model._binned() is None
