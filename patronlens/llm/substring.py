@@ -1,14 +1,19 @@
-"""Removal of word sequences that occur earlier, with a count-min prefilter.
+"""Removal of word sequences that occur earlier, with an exact prefilter.
 
-A window is `WINDOW` consecutive words of one text. Each partition counts window anchors in a
-count-min sketch of fixed size; the sketches are merged block by block. An anchor is the smallest
-hash of a run of neighbouring word groups inside the window, so equal windows have equal anchors at
-equal places, and the smallest estimate over a window's anchors is never below the number of times
-the window occurs. Only windows estimated at two or more are grouped, by a 96-bit hash of their
-words, so none is lost; where the sketch is too small for the corpus it only lets more through.
+A window is `WINDOW` consecutive words of one text. An anchor is the smallest hash of a run of neighbouring word groups inside
+the window, so equal windows have equal anchors at equal places. Texts are written in batches once, and every step asks the other
+batches by hash range:
+
+1. A batch sends its distinct anchors (40 bits, sorted, as differences: some 3 bytes each). A range answers with a bit per
+   anchor: whether it occurs again. Windows with an anchor that does not are left out; none that occurs again is lost.
+2. A batch sends the first place of each remaining window (96 bits of its words, id, start), in the same form. A range
+   answers with a bit per window: whether its content starts earlier.
+3. The batch removes what was answered, and what repeats inside itself.
+
+So what is exchanged follows the words and the repeated windows, whatever the size of the corpus, and only bits come back.
 
 Order is by id (null first), then start. Equal windows of one batch are brought down to their first before the
-exchange, so a window that a third of all texts hold reaches the grouping task once per batch.
+exchange, so a window that a third of all texts hold reaches the answering task once per batch.
 
 Defined cases: a null text has no words; texts shorter than a window stay whole; rows that share an
 id are one place in the order, so equal starts in them remove nothing from each other, and each row keeps
@@ -19,29 +24,27 @@ cannot clash.
 from __future__ import annotations
 
 import hashlib
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.pandas.types import to_arrow_type
 
 from patronlens.workspace import materialize
 
 WINDOW = 20
 GROUP = 10  # words in an anchor's group
 RUN = 3  # groups of which an anchor is the smallest
-CELLS = 1 << 26  # per row of the sketch, two bits each in transit, one bit each when merged
-BLOCKS = 256
-ROWS = 2
+CELLS = 1 << 40  # anchors are told apart by so many numbers
+PER_RANGE = 2  # batches' worth of anchors or windows that a range holds
 
-_SALTS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+_SALT = 0xD6E8FEB86659FD93
 BATCH_BYTES = 8 << 20
 _NULL_ID = -(1 << 63)
 
@@ -79,7 +82,7 @@ def _rolling(words: np.ndarray, n: int, base: int) -> np.ndarray:
 class Batch:
     """Words of several texts in a row, with their hashes and the windows that lie inside one text."""
 
-    def __init__(self, texts: list[str | None]):
+    def __init__(self, texts: list[str | bytes | None]):
         hashed = [self._hashes(t) for t in texts]
         self.sizes = np.array([len(h) for h in hashed], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
@@ -98,8 +101,8 @@ class Batch:
         self.inner_runs = WINDOW - GROUP - RUN + 2
 
     @staticmethod
-    def _hashes(text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").split()
+    def _hashes(text: str | bytes | None) -> np.ndarray:
+        words = (text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")).split()
         return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
     def anchors(self) -> np.ndarray:
@@ -116,22 +119,22 @@ class Batch:
             chosen[shift:shift + len(self.least)] |= in_window & (part == self.least)
         return self.groups[chosen]
 
-    def repeated(self, bits: list[np.ndarray], size: int) -> np.ndarray:
-        """Starts of windows whose anchors are all estimated at two or more."""
+    def repeated(self, cells: np.ndarray, often: np.ndarray, size: int) -> np.ndarray:
+        """Starts of windows whose anchors are all among those of the sorted `cells` that occur `often`."""
         if not self.windows.any():
             return np.array([], np.int64)
-        often = np.ones(len(self.least), bool)
-        for row, cells in enumerate(cells_of(self.least, size)):
-            often &= (bits[row][cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 > 0
+        asked = cells_of(self.least, size)
+        at = np.minimum(np.searchsorted(cells, asked), len(cells) - 1)
+        again = often[at] & (cells[at] == asked)
         keep = self.windows.copy()
         for shift in range(self.inner_runs):
-            keep &= often[shift:shift + len(keep)]
+            keep &= again[shift:shift + len(keep)]
         return np.flatnonzero(keep)
 
 
-def cells_of(hashes: np.ndarray, size: int) -> list[np.ndarray]:
-    """The cell of every hash in each row of a sketch of `size` (a power of two) cells a row."""
-    return [(_mix(hashes ^ np.uint64(salt)) & np.uint64(size - 1)).astype(np.int64) for salt in _SALTS]
+def cells_of(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The number of every hash among `size` (a power of two)."""
+    return _mix(hashes ^ np.uint64(_SALT)) & np.uint64(size - 1)
 
 
 def _batches(tables: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.RecordBatch, list]]:
@@ -147,137 +150,210 @@ def _batches(tables: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.R
                 start, held = at + 1, 0
 
 
-def _bytes_of(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a bit array that hold the given distinct cells, in order, and their bits."""
-    if not len(cells):
-        return cells, np.array([], np.uint8)
-    places = cells >> 3
-    heads = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
-    return places[heads], np.bitwise_or.reduceat(np.uint8(1) << (cells & 7).astype(np.uint8), heads)
-
-
-def sketch(docs: DataFrame, cells: int = CELLS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """Merged sketch of the column `text`: per row and block, the bits of cells counted twice or more."""
-    per_block = cells // 8 // BLOCKS
-    schema = pa.schema([("row", pa.int32()), ("block", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
-
-    def count(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once = twice = None
-        for _, texts in _batches(tables, batch_bytes):
-            anchors = Batch(texts).anchors()
-            if not len(anchors):
-                continue
-            if once is None:
-                once, twice = (np.zeros((ROWS, cells // 8), np.uint8) for _ in range(2))
-            for row, at in enumerate(cells_of(anchors, cells)):
-                found, times = np.unique(at, return_counts=True)
-                places, bits = _bytes_of(found)
-                more, again = _bytes_of(found[times > 1])
-                twice[row][places] |= once[row][places] & bits
-                twice[row][more] |= again
-                once[row][places] |= bits
-        if once is None:
-            return
-        for row in range(ROWS):
-            for block in range(BLOCKS):
-                part = slice(block * per_block, (block + 1) * per_block)
-                packed = [zlib.compress(seen[row, part].tobytes(), 1) for seen in (once, twice)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row], pa.int32()), pa.array([block], pa.int32()), *(pa.array([p], pa.binary()) for p in packed)], schema=schema
-                )
-
-    def merge(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = pa.schema([("row", pa.int32()), ("block", pa.int32()), ("bits", pa.binary())])
-        now, once, twice = None, None, None
+def _packed(columns: list[tuple[np.ndarray, int]]) -> bytes:
+    """Columns of whole numbers, each with the bytes it takes, byte place by byte place and compressed."""
+    planes = [np.ascontiguousarray(c.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes() for c, width in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
-        def done() -> pa.RecordBatch:
-            packed = zlib.compress(twice.tobytes(), 1)
-            return pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([packed], pa.binary())], schema=out)
 
-        for table in tables:
-            for r in table.to_pylist():
-                one, two = (np.frombuffer(zlib.decompress(r[c]), np.uint8) for c in ("once", "twice"))
-                if now != (r["row"], r["block"]):
-                    if now is not None:
-                        yield done()
-                    now, once, twice = (r["row"], r["block"]), one.copy(), two.copy()
-                else:
-                    twice |= two | (once & one)
-                    once |= one
-        if now is not None:
+def _unpacked(data: bytes, widths: list[int]) -> list[np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(sum(widths), -1)
+    out, at = [], 0
+    for width in widths:
+        wide = np.zeros((planes.shape[1], 8), np.uint8)
+        wide[:, :width] = planes[at:at + width].T
+        out.append(wide.view("<u8").ravel())
+        at += width
+    return out
+
+
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Differences of ascending numbers, the first from 0."""
+    return np.diff(x, prepend=np.uint64(0))
+
+
+def _width(size: int) -> int:
+    return -(-(size - 1).bit_length() // 8)
+
+
+def batched(keyed: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """`keyed` (id, key, text) in written batches of a few MB of text: batch, ids, keys, lengths and packed texts."""
+    key = keyed.schema["key"].dataType
+    schema = pa.schema([("ids", pa.list_(pa.int64())), ("keys", pa.list_(to_arrow_type(key))), ("lengths", pa.binary()), ("packed", pa.binary())])
+
+    def pack(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for part, texts in _batches(tables, batch_bytes):
+            plain = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+            n = pa.array([0, len(plain)], pa.int32())
+            lists = [pa.ListArray.from_arrays(n, part.column(c)).cast(schema.field(f).type) for c, f in (("id", "ids"), ("key", "keys"))]
+            lengths = np.array([len(p) for p in plain], np.int64).tobytes()
+            yield pa.RecordBatch.from_arrays([*lists, pa.array([lengths]), pa.array([packer.compress(b"".join(plain))])], schema=schema)
+
+    rows = keyed.select("id", "key", "text").mapInArrow(pack, f"ids array<long>, keys array<{key.simpleString()}>, lengths binary, packed binary")
+    return materialize(rows.withColumn("batch", F.monotonically_increasing_id()), "batches")
+
+
+def _texts(row: dict) -> list[bytes]:
+    whole, ends = zstandard.ZstdDecompressor().decompress(row["packed"]), np.cumsum(np.frombuffer(row["lengths"], np.int64)).tolist()
+    return [whole[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _each(tables: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of the tables, one at a time."""
+    for table in tables:
+        for i in range(table.num_rows):
+            yield table.slice(i, 1).to_pylist()[0]
+
+
+_ASKED = "range int, batch long, asked binary"
+_TOLD = "range int, batch long, told binary"
+
+
+def _asked(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    schema = pa.schema([("range", pa.int32()), ("batch", pa.int64()), ("asked", pa.binary())])
+    return pa.RecordBatch.from_pydict(dict(zip(schema.names, map(list, zip(*rows)))) if rows else {n: [] for n in schema.names}, schema=schema)
+
+
+def _told(asked: DataFrame, ranges: int, answer: Callable[[list[bytes]], list[np.ndarray]]) -> DataFrame:
+    """Per batch the answers of all ranges, `told` (range, bits); `answer` gives one flag per number that a batch asked for."""
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("range", pa.int32()), ("batch", pa.int64()), ("told", pa.binary())])
+
+        def done() -> pa.RecordBatch:
+            bits = [np.packbits(flags).tobytes() for flags in answer([d for _, d in held])]
+            return pa.RecordBatch.from_arrays([pa.array([now] * len(held), pa.int32()), pa.array([b for b, _ in held]), pa.array(bits, pa.binary())], schema=schema)
+
+        now, held = None, []
+        for row in _each(tables):
+            if row["range"] != now and held:
+                yield done()
+                held = []
+            now = row["range"]
+            held.append((row["batch"], row["asked"]))
+        if held:
             yield done()
 
-    parts = docs.select("text").mapInArrow(count, "row int, block int, once binary, twice binary")
-    parts = parts.repartition("row", "block").sortWithinPartitions("row", "block")
-    # Written, so that the exchanged parts need not be kept.
-    return materialize(parts.mapInArrow(merge, "row int, block int, bits binary"), "sketch")
-
-
-def _bits(merged: DataFrame, cells: int) -> list[bytes]:
-    """The merged sketch on the driver: `ROWS` x `cells` bits (16 MB by default), whatever the size of the corpus."""
-    bits = [bytearray(cells // 8) for _ in range(ROWS)]
-    size = cells // 8 // BLOCKS
-    for r in merged.toLocalIterator():
-        bits[r["row"]][r["block"] * size:(r["block"] + 1) * size] = zlib.decompress(r["bits"])
-    return [bytes(b) for b in bits]
-
-
-FOUND = "h1 long, h2 int, id long, place long, later array<struct<id:long,place:long>>"
-
-
-def repeated_windows(keyed: DataFrame, bits, cells: int = CELLS, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """Windows that may be repeated, one row per batch and content: its first place and the later ones.
-
-    `keyed` has id, version (tells rows of one id apart) and text; a place is version and start in one number.
-    """
-    pair = pa.struct([("id", pa.int64()), ("place", pa.int64())])
-    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int32()), ("id", pa.int64()), ("place", pa.int64()), ("later", pa.list_(pair))])
-
-    def find(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.frombuffer(b, np.uint8) for b in bits.value]
-        for table, texts in _batches(tables, batch_bytes):
-            batch = Batch(texts)
-            at = batch.repeated(held, cells)
-            if not len(at):
-                continue
-            h1 = _rolling(batch.words, WINDOW, 0xC2B2AE3D27D4EB4F)[at]
-            h2 = (_rolling(_mix(batch.words), WINDOW, 0x165667B19E3779F9)[at] >> np.uint64(32)).astype(np.uint32)
-            text = batch.text_of[at]
-            ids = table.column("id").to_numpy(zero_copy_only=False)[text]
-            start = at - batch.starts[text]
-            place = (table.column("version").to_numpy(zero_copy_only=False)[text].astype(np.int64) << 32) | start
-            order = np.lexsort((start, ids, h2, h1))
-            h1, h2, ids, place = h1[order], h2[order], ids[order], place[order]
-            first = np.ones(len(h1), bool)
-            first[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-            heads = np.flatnonzero(first)
-            sizes = np.diff(np.append(heads, len(h1))) - 1
-            rest = pa.StructArray.from_arrays([pa.array(ids[~first]), pa.array(place[~first])], names=["id", "place"])
-            offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(h1[heads].view(np.int64)), pa.array(h2[heads].view(np.int32)), pa.array(ids[heads]),
-                    pa.array(place[heads]), pa.ListArray.from_arrays(offsets, rest),
-                ],
-                schema=schema,
-            )
-
-    return keyed.mapInArrow(find, FOUND)
-
-
-def later_places(found: DataFrame) -> DataFrame:
-    """Places (id, place) of windows whose content also starts earlier."""
-    start = F.col("place").bitwiseAND(F.lit((1 << 32) - 1))
-    order = Window.partitionBy("h1", "h2").orderBy("id", start)
-    lead = F.first(F.struct(F.col("id"), start.alias("start"))).over(order)
-    ranked = found.select("id", "place", "later", lead.alias("_first"))
-
-    def is_later(p: Column) -> Column:
-        begin = p["place"].bitwiseAND(F.lit((1 << 32) - 1))
-        return (p["id"] > F.col("_first.id")) | (begin > F.col("_first.start"))
-
-    every = F.concat(F.array(F.struct("id", "place")), "later")
-    return ranked.select(F.explode(F.filter(every, is_later)).alias("_p")).select("_p.id", "_p.place")
+    told = asked.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(run, _TOLD)
+    return told.groupBy("batch").agg(F.collect_list(F.struct("range", "told")).alias("told"))
+
+
+def _flags(told: list[dict] | None, sizes: np.ndarray) -> np.ndarray:
+    """The answers of all ranges, one after the other; `sizes` says how much each was asked."""
+    said = {t["range"]: t["told"] for t in told or []}
+    parts = [np.unpackbits(np.frombuffer(said[r], np.uint8), count=n) for r, n in enumerate(sizes.tolist()) if n]
+    return np.concatenate(parts).astype(bool) if parts else np.array([], bool)
+
+
+def _cut(numbers: np.ndarray, bits: int, ranges: int) -> np.ndarray:
+    """Ends of the ranges among ascending numbers of so many bits."""
+    high = numbers >> np.uint64(max(0, bits - 32))
+    return np.searchsorted(high * np.uint64(ranges) >> np.uint64(min(bits, 32)), np.arange(ranges), "right")
+
+
+class Cells(NamedTuple):
+    """The distinct anchors of a batch, which of them it holds twice, and the ends of the ranges among them."""
+
+    cells: np.ndarray
+    twice: np.ndarray
+    ends: np.ndarray
+
+
+def _cells(batch: Batch, size: int, ranges: int) -> Cells:
+    cells, counts = np.unique(cells_of(batch.anchors(), size), return_counts=True)
+    return Cells(cells, counts > 1, _cut(cells, size.bit_length() - 1, ranges))
+
+
+def repeated_anchors(batches: DataFrame, ranges: int, size: int = CELLS) -> DataFrame:
+    """Per batch a bit for each of its anchors: whether it occurs again."""
+    width = _width(size)
+
+    def send(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(tables):
+            found = _cells(Batch(_texts(row)), size, ranges)
+            rows = []
+            for r, (a, b) in enumerate(zip(np.append(0, found.ends), found.ends)):
+                if b > a:
+                    rows.append((r, row["batch"], _packed([(_steps(found.cells[a:b]), width), (found.twice[a:b], 1)])))
+            yield _asked(rows)
+
+    def answer(asked: list[bytes]) -> list[np.ndarray]:
+        parts = [_unpacked(a, [width, 1]) for a in asked]
+        cells = np.concatenate([np.cumsum(steps, dtype=np.uint64) for steps, _ in parts])
+        order = np.argsort(cells, kind="stable")
+        ordered = cells[order]
+        equal = ordered[1:] == ordered[:-1]
+        again = np.empty(len(cells), bool)
+        again[order] = np.r_[False, equal] | np.r_[equal, False]
+        again |= np.concatenate([twice for _, twice in parts]) > 0
+        return np.split(again, np.cumsum([len(steps) for steps, _ in parts])[:-1])
+
+    return materialize(_told(batches.select("batch", "lengths", "packed").mapInArrow(send, _ASKED), ranges, answer), "anchors")
+
+
+class Windows(NamedTuple):
+    """Windows of a batch that may be repeated, by content, id and start, and which of them are the first place of a content."""
+
+    at: np.ndarray
+    h1: np.ndarray
+    h2: np.ndarray
+    ids: np.ndarray
+    starts: np.ndarray
+    heads: np.ndarray
+    ends: np.ndarray
+
+
+def _windows(batch: Batch, ids: np.ndarray, told: list[dict] | None, size: int, ranges: int) -> Windows:
+    found = _cells(batch, size, ranges)
+    at = batch.repeated(found.cells, _flags(told, np.diff(found.ends, prepend=0)), size)
+    if len(at):
+        h1 = _rolling(batch.words, WINDOW, 0xC2B2AE3D27D4EB4F)[at]
+        h2 = _rolling(_mix(batch.words), WINDOW, 0x165667B19E3779F9)[at] >> np.uint64(32)
+    else:
+        h1 = h2 = np.array([], np.uint64)
+    text = batch.text_of[at]
+    ids, starts = ids[text], at - batch.starts[text]
+    order = np.lexsort((starts, ids, h2, h1))
+    at, h1, h2, ids, starts = at[order], h1[order], h2[order], ids[order], starts[order]
+    first = np.ones(len(at), bool)
+    first[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+    heads = np.flatnonzero(first)
+    return Windows(at, h1, h2, ids, starts, heads, _cut(h1[heads], 64, ranges))
+
+
+_WIDTHS = [8, 4, 8, 4]
+
+
+def earlier_windows(batches: DataFrame, anchors: DataFrame, ranges: int, size: int = CELLS) -> DataFrame:
+    """Per batch a bit for each content of its windows that may be repeated: whether it starts earlier elsewhere."""
+
+    def send(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(tables):
+            found = _windows(Batch(_texts(row)), np.array(row["ids"], np.int64), row["told"], size, ranges)
+            h1, h2, ids, starts = (c[found.heads] for c in (found.h1, found.h2, found.ids.view(np.uint64), found.starts))
+            rows = []
+            for r, (a, b) in enumerate(zip(np.append(0, found.ends), found.ends)):
+                if b > a:
+                    columns = _steps(h1[a:b]), h2[a:b], ids[a:b], starts[a:b]
+                    rows.append((r, row["batch"], _packed(list(zip(columns, _WIDTHS)))))
+            yield _asked(rows)
+
+    def answer(asked: list[bytes]) -> list[np.ndarray]:
+        parts = [_unpacked(a, _WIDTHS) for a in asked]
+        h1 = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
+        h2, ids, starts = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+        ids = ids.view(np.int64)
+        order = np.lexsort((starts, ids, h2, h1))
+        h1, h2, ids, starts = h1[order], h2[order], ids[order], starts[order]
+        heads = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
+        first = np.repeat(heads, np.diff(np.append(heads, len(h1))))
+        later = np.empty(len(h1), bool)
+        later[order] = (ids != ids[first]) | (starts != starts[first])
+        return np.split(later, np.cumsum([len(p[0]) for p in parts])[:-1])
+
+    asked = batches.select("batch", "ids", "lengths", "packed").join(anchors, "batch", "left").mapInArrow(send, _ASKED)
+    return materialize(_told(asked, ranges, answer), "windows")
 
 
 KEPT = "n_words long, n_removed long, kept string"
@@ -296,50 +372,37 @@ def _remove(text: bytes, starts) -> tuple[int, int, bytes]:
     return len(words), int(gone.sum()), b" ".join(kept)
 
 
-def packed_column(text: Column) -> Column:
-    """The text compressed for an exchange; null stays null."""
-    @F.pandas_udf("binary")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        packer = zstandard.ZstdCompressor(level=3)
-        for texts in batches:
-            yield pd.Series([None if t is None else packer.compress(t.encode("utf-8", "surrogatepass")) for t in texts], dtype=object)
-
-    return of(text)
-
-
-def kept_column(packed: Column, starts: Column, digest: bool = False) -> Column:
-    """Of a packed text: its words, words removed, and the kept words joined by a space (or their SHA-256)."""
-    @F.pandas_udf(KEPT)
-    def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        unpacker = zstandard.ZstdDecompressor()
-        for texts, places in batches:
-            rows = []
-            for data, at in zip(texts, places):
-                n, removed, kept = _remove(b"" if data is None else unpacker.decompress(data), at)
-                rows.append((n, removed, hashlib.sha256(kept).hexdigest() if digest else kept.decode("utf-8", "surrogatepass")))
-            yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
-
-    return of(packed, starts)
-
-
 def remove_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", digest: bool = False, cells: int = CELLS, batch_bytes: int = BATCH_BYTES
 ) -> DataFrame:
-    """One row per document: key, n_words, n_removed and kept, the text without the words of earlier windows."""
-    spark = docs.sparkSession
-    keyed = docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit(_NULL_ID)).alias("id"),
-        F.hash(text).alias("version"),
-        F.col(text).alias("text"),
-        F.col(key).alias("_key"),
-    )
-    bits = spark.sparkContext.broadcast(_bits(sketch(keyed, cells, batch_bytes), cells))
-    found = repeated_windows(keyed.select("id", "version", "text"), bits, cells, batch_bytes)
-    places = later_places(found).select(
-        "id", F.shiftright("place", 32).cast("int").alias("version"),
-        F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at"),
-    )
-    removed = places.groupBy("id", "version").agg(F.collect_list("at").alias("starts"))
-    packed = keyed.select("id", "version", "_key", packed_column(F.col("text")).alias("text"))
-    joined = packed.join(removed, ["id", "version"], "left")
-    return joined.select(F.col("_key").alias(key), kept_column(F.col("text"), F.col("starts"), digest).alias("_r")).select(key, "_r.*")
+    """One row per document: key, n_words, n_removed and kept, the text without the words of earlier windows (or its SHA-256)."""
+    keyed = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NULL_ID)).alias("id"), F.col(key).alias("key"), F.col(text).alias("text"))
+    batches = batched(keyed, batch_bytes)
+    ranges = max(1, -(-batches.count() // PER_RANGE))
+    anchors = repeated_anchors(batches, ranges, cells)
+    windows = earlier_windows(batches, anchors, ranges, cells)
+    kind = keyed.schema["key"].dataType
+    schema = pa.schema([("key", to_arrow_type(kind)), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
+
+    def cut(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in tables:
+            for i in range(table.num_rows):
+                row = table.select(["ids", "lengths", "packed", "told", "later"]).slice(i, 1).to_pylist()[0]
+                texts = _texts(row)
+                batch = Batch(texts)
+                found = _windows(batch, np.array(row["ids"], np.int64), row["told"], cells, ranges)
+                head = np.repeat(found.heads, np.diff(np.append(found.heads, len(found.at))))
+                later = np.repeat(_flags(row["later"], np.diff(found.ends, prepend=0)), np.diff(np.append(found.heads, len(found.at))))
+                # What comes after the batch's first place goes in any case; what shares that place goes with it.
+                later |= (found.ids != found.ids[head]) | (found.starts != found.starts[head])
+                gone = np.sort(found.at[later])
+                limits = np.searchsorted(gone, np.append(batch.starts, len(batch.words)))
+                rows = [_remove(t, gone[a:b] - s) for t, s, a, b in zip(texts, batch.starts, limits, limits[1:])]
+                kept = [hashlib.sha256(k).hexdigest() if digest else k.decode("utf-8", "surrogatepass") for _, _, k in rows]
+                keys = table.column("keys").slice(i, 1).flatten()
+                columns = [keys, pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(kept, pa.string())]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    joined = batches.join(anchors, "batch", "left").join(windows.select("batch", F.col("told").alias("later")), "batch", "left")
+    done = joined.drop("batch").mapInArrow(cut, f"key {kind.simpleString()}, {KEPT}")
+    return done.withColumnRenamed("key", key)

@@ -3,8 +3,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import clashing, doc, frame, odd_documents, words
+from patronlens.llm import substring
 from patronlens.llm.queries import op6_substrings
 from patronlens.llm.substring import WINDOW, Batch, remove_repeats
 
@@ -81,3 +83,25 @@ def test_equal_windows_have_their_anchors_counted_twice():
 
 def test_empty_table(spark):
     assert remove_repeats(frame(spark, [])).collect() == []
+
+
+def test_rows_of_one_id_keep_their_own_removals_when_their_texts_hash_alike(spark):
+    passage = " ".join(f"p{k}" for k in range(30))
+    other = F.concat_ws(" ", *[F.concat(F.lit(f"q{k}_"), F.col("id").cast("string")) for k in range(30)])
+    text = F.when(F.col("id") % 2 == 0, F.concat(F.lit(f"{passage} "), F.col("id").cast("string"))).otherwise(other)
+    texts = spark.range(300_000).select("id", text.alias("text")).withColumn("h", F.hash("text"))
+    pair = texts.groupBy("h").agg(F.collect_list("text").alias("t"), F.countDistinct(F.col("id") % 2).alias("kinds")).where("kinds = 2").first()
+    rows = [doc(1, passage), *(doc(9, t) for t in pair["t"])]
+    assert sorted((tuple(r) for r in remove_repeats(frame(spark, rows)).collect()), key=str) == by_hand(rows)
+
+
+def test_only_windows_that_may_repeat_are_exchanged(spark):
+    """Anchors are told apart by their numbers, not by cells that fill up as the corpus grows."""
+    draw = random.Random(4)
+    rows = [doc(i, " ".join(f"u{draw.randrange(10**9)}" for _ in range(400))) for i in range(100)]
+    keyed = frame(spark, [*rows, doc(200, rows[3][1])]).selectExpr("doc_id as id", "doc_id as key", "text")
+    batches = substring.batched(keyed.repartition(4), 9000)
+    anchors = substring.repeated_anchors(batches, 7)
+    told = substring.earlier_windows(batches, anchors, 7).collect()
+    # Of 38,481 windows the 381 of the copied text: each is asked by one batch or two, in whole bytes of bits.
+    assert substring.CELLS >= 1 << 40 and 381 // 8 <= sum(len(t["told"]) for r in told for t in r["told"]) <= 2 * (381 // 8 + 7)
